@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hilbert_shards
+from . import exact_dedup, hilbert_shards, packing, tokens
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_token_files": tokens.op3_token_files,
+    "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op10_hilbert_shards": hilbert_shards.op10_hilbert_shards,
 }
 
