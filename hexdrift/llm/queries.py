@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hilbert_shards, packing, tokens
+from . import exact_dedup, hilbert_shards, line_dedup, packing, tokens, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_token_files": tokens.op3_token_files,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op6_warc": warc.op6_warc,
     "op10_hilbert_shards": hilbert_shards.op10_hilbert_shards,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.OP1_SQL,
+    "op2_line_dedup": line_dedup.OP2_SQL,
+    "op6_warc": warc.OP6_SQL,
 }
