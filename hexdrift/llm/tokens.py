@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from .common import documents, fresh_dir, slices, text_column
 
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks kept in a worker's cache; it starts anew when full.
-CACHE = 400_000
+CACHE = 1_000_000
 END_ID = 1
 
 
@@ -59,47 +60,35 @@ class Encoder:
 
     def _clear(self) -> None:
         self.codes: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def _add(self, chunk: bytes, ids: list[int]) -> None:
-        code = len(self.codes)
-        if code == len(self.start):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.start[code], self.size[code] = self.used, len(ids)
-        self.used += len(ids)
-        self.codes[chunk] = code
-
-    def _known(self, chunk: bytes) -> list[int]:
-        code = self.codes[chunk]
-        at = self.start[code]
-        return self.flat[at : at + self.size[code]].tolist()
-
-    def _word(self, word: str) -> list[int]:
+        self.flat, self.ends = array("I"), array("q", [0])
+
+    def _add(self, chunk: bytes, *parts) -> None:
+        self.codes[chunk] = len(self.ends) - 1
+        for ids in parts:
+            self.flat.extend(ids)
+        self.ends.append(len(self.flat))
+
+    def _word(self, word: str) -> array:
         raw = word.encode()
-        if raw not in self.codes:
+        code = self.codes.get(raw)
+        if code is None:
             piece = word if word.isascii() else "".join(map(self.letters.__getitem__, raw))
+            code = len(self.ends) - 1
             self._add(raw, [t.id for t in self.model.tokenize(piece)])
-        return self._known(raw)
+        return self.flat[self.ends[code] : self.ends[code + 1]]
 
     def _learn(self, chunks: set[bytes]) -> None:
-        odd = []
+        odd, plain = [], self._plain.fullmatch
         for chunk in chunks:
             text = chunk.decode()
-            match = self._plain.fullmatch(text.lower())
-            if match:
-                ids = self._word(match[1])
-                if match[2]:
-                    ids = ids + self._word(match[2])
-                if chunk not in self.codes:
-                    self._add(chunk, ids)
-            else:
+            match = plain(text.lower())
+            if not match:
                 odd.append((chunk, text))
+                continue
+            word, stops = match.groups()
+            ids = self._word(word)
+            if chunk not in self.codes:
+                self._add(chunk, ids, self._word(stops)) if stops else self._add(chunk, ids)
         found = self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False) if odd else []
         for (chunk, _), e in zip(odd, found, strict=True):
             if chunk not in self.codes:
@@ -119,10 +108,11 @@ class Encoder:
             new = set(chunks)
         self._learn(new)
         code = np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks))
-        size = self.size[code]
+        bounds = np.array(self.ends)
+        start, size = bounds[code], np.diff(bounds)[code]
         after = np.concatenate([[0], np.cumsum(size)])
-        at = np.repeat(self.start[code] - after[:-1], size) + np.arange(after[-1])
-        return self.flat[at], np.diff(after[np.array(ends)])
+        at = np.repeat(start - after[:-1], size) + np.arange(after[-1])
+        return np.array(self.flat, np.uint32)[at], np.diff(after[np.array(ends)])
 
 
 _encoders: dict[str, Encoder] = {}
