@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hilbert_shards, line_dedup, packing, tokens, warc
+from . import exact_dedup, hilbert_shards, line_dedup, packing, simhash, tokens, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_token_files": tokens.op3_token_files,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op6_warc": warc.op6_warc,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op8_simhash": simhash.op8_simhash,
     "op10_hilbert_shards": hilbert_shards.op10_hilbert_shards,
 }
 
