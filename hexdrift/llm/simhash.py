@@ -292,7 +292,7 @@ def fingerprint_groups(docs: DataFrame, size: int = 3, radius: int = 2) -> DataF
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (doc, fp, same, least, shingles): identity of the shingle set, least hash of each stratum, the set itself."""
+    """Rows (doc, fp, same, least, shingles): identity of the shingle set, least hash of each stratum, the set by 32 bits of its hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,8 +306,8 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 least: list = [None] * STRATA
                 for s, at in zip(kind.tolist(), first.tolist(), strict=True):
                     least[s] = int(unique[at : at + 1].view(np.int64)[0])
-                raw = unique.tobytes()
-                for col, x in zip(out, (doc, _signed(fingerprint(runs)), xxhash.xxh3_128_digest(raw), least, raw), strict=True):
+                raw = np.unique((unique >> np.uint64(32)).astype(np.uint32)).tobytes()
+                for col, x in zip(out, (doc, _signed(fingerprint(runs)), xxhash.xxh3_128_digest(unique.tobytes()), least, raw), strict=True):
                     col.append(x)
                 held += len(raw)
                 if held > 1 << 22:
@@ -360,61 +360,79 @@ def _verified(node: np.ndarray, fp: np.ndarray, sets: list[np.ndarray], threshol
     return node[on], node[forest.root[on]]
 
 
-def similar_edges(nodes: DataFrame, threshold: float, radius: int, most: int = MOST_MEMBERS) -> DataFrame:
-    """Edges between rows (doc, fp, least, shingles) of different shingle sets at ``threshold`` or more."""
+def _in_blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[list]]:
+    """Columns of each block of two rows or more; rows come sorted by their first column."""
+    current, held = None, [[] for _ in range(width)]
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[0] != current:
+                if len(held[0]) > 1:
+                    yield held
+                current, held = row[0], [[] for _ in range(width)]
+            for col, x in zip(held, row, strict=True):
+                col.append(x)
+    if len(held[0]) > 1:
+        yield held
+
+
+def _alike(blocks: DataFrame, radius: int) -> DataFrame:
+    """Members (block, doc) of blocks (block, doc, fp) that have another one within the radius."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, doc, fp in _in_blocks(batches, 3):
+            near = np.zeros(len(doc), bool)
+            for i, j in links(np.array(fp, np.int64).view(np.uint64), np.array([len(doc)]), radius):
+                near[i] = near[j] = True
+            on = np.flatnonzero(near)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(block, np.int64)[on]), pa.array(np.array(doc, np.int64)[on])], ["block", "doc"])
+
+    dealt = blocks.select("block", "doc", "fp").repartition("block").sortWithinPartitions("block", "doc")
+    return dealt.mapInArrow(run, "block bigint, doc bigint")
+
+
+def similar_edges(nodes: DataFrame, sets: DataFrame, threshold: float, radius: int, most: int = MOST_MEMBERS) -> DataFrame:
+    """Edges between rows (doc, fp, least) of different shingle sets at ``threshold`` or more; ``sets`` has (doc, fp, shingles)."""
     strata = F.transform(F.col("least"), lambda x, i: F.when(x.isNotNull(), F.struct(i.alias("i"), F.lit(-1).alias("k"), x.alias("x"), F.lit(0).cast("bigint").alias("y"))))
-    single = nodes.select("doc", F.explode(F.filter(strata, lambda s: s.isNotNull())).alias("key"))
-    keys = cut(single, "strata")
+    keys = cut(nodes.select("doc", "fp", F.explode(F.filter(strata, lambda s: s.isNotNull())).alias("key")), "strata")
     count = lambda t: t.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sizes = cut(count(keys), "sizes")
     placed = keys.join(sizes, "key")
-    blocks = placed.where(F.col("n") <= most).select("doc", "key", F.lit(0).alias("tile"))
+    blocks = placed.where(F.col("n") <= most).select("doc", "fp", "key", F.lit(0).alias("tile"))
     if not sizes.where(F.col("n") > most).isEmpty():
         # Members of too large blocks meet where a second stratum agrees as well.
-        hot = placed.where(F.col("n") > most).select("doc", "key")
+        hot = placed.where(F.col("n") > most).select("doc", "fp", "key")
         pair = F.transform(F.col("least"), lambda x, k: F.when(x.isNotNull() & (k != F.col("key.i")), F.struct(F.col("key.i").alias("i"), k.alias("k"), F.col("key.x").alias("x"), x.alias("y"))))
-        finer = cut(hot.join(nodes.select("doc", "least"), "doc").select("doc", F.explode(F.filter(pair, lambda s: s.isNotNull())).alias("key")), "finer")
+        finer = cut(hot.join(nodes.select("doc", "fp", "least"), ["doc", "fp"]).select("doc", "fp", F.explode(F.filter(pair, lambda s: s.isNotNull())).alias("key")), "finer")
         sized = finer.join(cut(count(finer), "sizes"), "key")
-        blocks = blocks.unionByName(sized.where(F.col("n") <= most).select("doc", "key", F.lit(0).alias("tile")))
+        blocks = blocks.unionByName(sized.where(F.col("n") <= most).select("doc", "fp", "key", F.lit(0).alias("tile")))
         # What is still too large is dealt into tiles, and every two tiles meet.
         tiles = F.ceil(F.col("n") * 2 / most).cast("int")
-        dealt = sized.where(F.col("n") > most).select("doc", "key", tiles.alias("g"), F.pmod(F.xxhash64("doc"), tiles).cast("int").alias("a"))
-        other = dealt.select("doc", "key", "g", "a", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("b"))
+        dealt = sized.where(F.col("n") > most).select("doc", "fp", "key", tiles.alias("g"), F.pmod(F.xxhash64("doc"), tiles).cast("int").alias("a"))
+        other = dealt.select("doc", "fp", "key", "g", "a", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("b"))
         met = F.least("a", "b") * F.col("g") + F.greatest("a", "b") + 1
-        blocks = blocks.unionByName(other.select("doc", "key", met.cast("int").alias("tile")))
-    blocks = blocks.select("doc", F.xxhash64("key", "tile").alias("block"))
-    loaded = blocks.join(nodes.select("doc", "fp", "shingles"), "doc")
+        blocks = blocks.unionByName(other.select("doc", "fp", "key", met.cast("int").alias("tile")))
+    members = cut(_alike(blocks.select("doc", "fp", F.xxhash64("key", "tile").alias("block")), radius), "alike")
+    loaded = members.join(sets.select("doc", "fp", "shingles"), "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, node, fp, sets = None, [], [], []
-
-        def close() -> pa.RecordBatch:
-            u, v = _verified(np.array(node), np.array(fp), sets, threshold, radius)
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
-
-        for batch in batches:
-            for block, doc, own, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
-                if block != current:
-                    if len(node) > 1:
-                        yield close()
-                    current, node, fp, sets = block, [], [], []
-                node.append(doc)
-                fp.append(own)
-                sets.append(np.frombuffer(raw.as_py(), np.uint64))
-        if len(node) > 1:
-            yield close()
+        for _, doc, fp, raw in _in_blocks(batches, 4):
+            own = [np.frombuffer(x, np.uint32) for x in raw]
+            u, v = _verified(np.array(doc, np.int64), np.array(fp, np.int64), own, threshold, radius)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     grouped = loaded.select("block", "doc", "fp", "shingles").repartition("block").sortWithinPartitions("block", "doc")
     return grouped.mapInArrow(run, "u bigint, v bigint")
 
 
-def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, radius: int = 22) -> DataFrame:
+def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, radius: int = 20) -> DataFrame:
     """(doc_id, component_id) of each doc_id: the least doc_id that links of that similarity reach."""
     rows = cut(sketches(docs, size), "sketches")
     first = rows.groupBy("same").agg(F.min("doc").alias("node"))
-    names = cut(rows.select("doc", "same").join(first, "same").select("doc", "node").distinct(), "names")
-    nodes = rows.join(names.where("doc = node").select("doc"), "doc", "left_semi").dropDuplicates(["doc", "same"])
-    found = components(similar_edges(cut(nodes, "nodes"), threshold, radius).unionByName(names.select(F.col("doc").alias("u"), F.col("node").alias("v"))))
+    names = cut(rows.select("doc", "same").join(first, "same").select("doc", "same", "node").distinct(), "names")
+    chosen = names.where("doc = node").select("doc", "same")
+    nodes = cut(rows.select("doc", "same", "fp", "least").join(chosen, ["doc", "same"], "left_semi").dropDuplicates(["doc", "same"]).drop("same"), "nodes")
+    edges = similar_edges(nodes, rows, threshold, radius)
+    found = components(edges.unionByName(names.select(F.col("doc").alias("u"), F.col("node").alias("v"))))
     null = lambda c: F.when(F.col(c) != _LAST, F.col(c))
     return rows.select("doc").distinct().join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
         null("doc").alias("doc_id"), F.coalesce(null("component"), null("doc")).alias("component_id")
