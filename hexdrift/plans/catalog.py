@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import coverage, tables, validation
+
+QUERIES: dict = coverage.QUERIES | tables.QUERIES | validation.QUERIES
+ORACLES: dict[str, str] = coverage.ORACLES | tables.ORACLES | validation.ORACLES
