@@ -172,6 +172,7 @@ def line_dedup(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int
         .agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))
         .where(F.col("docs") >= least_docs)
     )
+    repeated = cut(repeated, "repeated")  # so that the join below deals both sides anew and can split a hot key
     dropped = (
         suspected.join(repeated, "key")
         .where("doc <> keeper")
