@@ -9,9 +9,12 @@ exact edit distance. The number of walks and samples is set so that a window at
 the allowed distance is missed less often than ``1 - recall``, as the tests
 measure against brute force.
 
-Before any walk, windows are ruled out that contain too few words of the
-benchmark: a window within k edits of an item of n words has n - k of its words
-at least. That loses nothing.
+Before any walk, windows are ruled out that contain too few word pairs of the
+benchmark: an edit touches two pairs at most, so a window within k edits of an item
+of n words has n - 1 - 2 k of its pairs at least. Nor do windows count that
+repeat a few words over and over: an edit takes away one kind of word at most.
+Before exact verification words are compared as multisets. None of this loses
+anything.
 
 The benchmark is the stated query set. It is searched in blocks of
 ``BLOCK_ITEMS`` items, each broadcast on its own, so its size is bounded
@@ -25,6 +28,7 @@ gives an empty result. Texts of any length are read whole. Other columns are not
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +41,7 @@ from .common import cut, documents, slices, text_column, words
 SIMILARITY = 0.8
 WALKS, TABLES, SAMPLES = 5, 4, 3
 BLOCK_ITEMS = 10_000
+NEAR = 6
 #: Windows walked together.
 RUN = 1 << 17
 #: Bytes of text looked at together.
@@ -81,7 +86,12 @@ class Block:
         self.by_size: dict[int, list[int]] = {}
         for i, (_, seq) in enumerate(self.items):
             self.by_size.setdefault(len(seq), []).append(i)
-        self.bags = [set(seq.tolist()) for _, seq in self.items]
+        self.bags = [Counter(seq.tolist()) for _, seq in self.items]
+        #: By size: the least number of different words of an item.
+        self.kinds = {n: min(len(self.bags[i]) for i in own) for n, own in self.by_size.items()}
+        self.width = len(self.vocabulary) + 1
+        pairs = [seq[:-1] * self.width + seq[1:] for _, seq in self.items]
+        self.grams = np.unique(np.concatenate([np.array([-1]), *pairs]))
         self.allowed = {n: int((1 - similarity) * n + 1e-9) for n in self.by_size}
         #: Sizes between two powers of two are walked together, over twice the lower power.
         self.groups: dict[int, list[int]] = {}
@@ -128,7 +138,14 @@ class Block:
         ``codes`` has the words of several documents in a row, ``ends`` where each of them ends.
         """
         found: dict[tuple[int, int], tuple[int, int]] = {}
-        known = np.concatenate([[0], np.cumsum(codes > 0)])
+        grams = codes[:-1] * self.width + codes[1:]
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        known = np.concatenate([[0], np.cumsum((self.grams[at] == grams) & (codes[:-1] > 0) & (codes[1:] > 0), dtype=np.int32)])
+        # Words other than the NEAR before them; at most NEAR more of a window's words can be its first of a kind.
+        fresh = np.ones(len(codes), bool)
+        for b in range(1, NEAR + 1):
+            fresh[b:] &= codes[b:] != codes[:-b]
+        kinds = np.concatenate([[0], np.cumsum(fresh, dtype=np.int32)])
         room = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(codes))  # words left in the document
         owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
         for steps, sizes in self.groups.items():
@@ -136,7 +153,8 @@ class Block:
             for n in sizes:
                 if n > len(codes):
                     continue
-                rich = np.flatnonzero((known[n:] - known[:-n] >= n - self.allowed[n]) & (room[: len(codes) - n + 1] >= n))
+                rich = np.flatnonzero(known[n - 1 :] - known[: len(codes) - n + 1] >= n - 1 - 2 * self.allowed[n])
+                rich = rich[(room[rich] >= n) & (kinds[rich + n] - kinds[rich] + NEAR >= self.kinds[n] - self.allowed[n])]
                 starts.append(rich)
                 lengths.append(np.full(len(rich), n))
             if not starts:
@@ -158,7 +176,7 @@ class Block:
                     if best is not None:
                         limit = min(limit, best[0])
                     window = codes[s : s + len(seq)]
-                    if sum(w in bag for w in window.tolist()) < len(seq) - limit:
+                    if (Counter(window.tolist()) & bag).total() < len(seq) - limit:
                         continue
                     d = edit_distance(seq, window, limit)
                     if d <= limit and (best is None or (d, s) < best):
