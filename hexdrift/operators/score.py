@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from .layers import UNIT
 
-ZERO = F.lit(0.0)
-
 
 def _pos(c: Column) -> Column:
     return F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(0.0))

@@ -49,7 +49,10 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
     return S.scored(feats(spark, d))
 
 
-ORDER = [F.desc(F.round("priority_score", 9)), F.col("provider_id"), F.col("technology"), F.col("county_geoid")]
+def in_order() -> list[Column]:
+    """The total order of the review list."""
+    return [F.desc(F.round("priority_score", 9)), F.col("provider_id"), F.col("technology"), F.col("county_geoid")]
+
 
 SQL = (
     "WITH "
@@ -296,14 +299,14 @@ def _(spark, d):
 round(added_km2, 6) AS added_km2, round(priority_score, 6) AS priority_score, flag_for_review, severity, flag_reason FROM sev""")
 def _(spark, d):
     # One row a unit and county remains; the global order is over those.
-    place = F.row_number().over(W.orderBy(*ORDER)).cast("bigint").alias("rank")
+    place = F.row_number().over(W.orderBy(*in_order())).cast("bigint").alias("rank")
     return S.severity(scored(spark, d)).select(place, *UNIT, "county_geoid", *_r("added_km2", "priority_score"), "flag_for_review", "severity", "flag_reason")
 
 
 @query("k6_selection", """SELECT row_number() OVER (ORDER BY round(priority_score, 9) DESC, provider_id, technology, county_geoid) AS select_rank, provider_id, technology, county_geoid,
 round(priority_score, 6) AS priority_score FROM scored WHERE flag_for_review""")
 def _(spark, d):
-    place = F.row_number().over(W.orderBy(*ORDER)).cast("bigint").alias("select_rank")
+    place = F.row_number().over(W.orderBy(*in_order())).cast("bigint").alias("select_rank")
     return scored(spark, d).where("flag_for_review").select(place, *UNIT, "county_geoid", *_r("priority_score"))
 
 

@@ -64,16 +64,16 @@ def rings(spark, d):
 _RING = f"""rings AS (SELECT county_geoid, q0, r0, [[-0.5, -0.5], [9.5, -0.5], [9.5, 9.5], [-0.5, 9.5]] AS o
   FROM (SELECT DISTINCT county_geoid, q // 10 * 10 AS q0, r // 10 * 10 AS r0 FROM cells)),
 pts AS (SELECT county_geoid, i, {M.SIDE_M * M.ROOT3!r}::DOUBLE * (q0 + o[i][1] + (r0 + o[i][2]) / 2.0::DOUBLE) AS x, {M.SIDE_M * 1.5!r}::DOUBLE * (r0 + o[i][2]) AS y FROM rings, (SELECT unnest([1, 2, 3, 4]) AS i)),
-edges AS (SELECT a.county_geoid, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by FROM pts a JOIN pts b ON a.county_geoid = b.county_geoid AND b.i = a.i % 4 + 1)
+edges AS (SELECT a.county_geoid, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS b_y FROM pts a JOIN pts b ON a.county_geoid = b.county_geoid AND b.i = a.i % 4 + 1)
 """
 
 
-@query("g4_county_area_shoelace", SQL + ", " + _RING + "SELECT county_geoid, round(abs(sum(ax * by - bx * ay)) / 2 / 1e6, 6) AS km2 FROM edges GROUP BY county_geoid")
+@query("g4_county_area_shoelace", SQL + ", " + _RING + "SELECT county_geoid, round(abs(sum(ax * b_y - bx * ay)) / 2 / 1e6, 6) AS km2 FROM edges GROUP BY county_geoid")
 def _(spark, d):
     return rings(spark, d).select("county_geoid", F.round(G.area(F.col("ring")) / 1e6, 6).alias("km2"))
 
 
-_INSIDE = "count(*) FILTER (WHERE (ay > m.y_m) <> (by > m.y_m) AND m.x_m < (bx - ax) * (m.y_m - ay) / (by - ay) + ax)"
+_INSIDE = "count(*) FILTER (WHERE (ay > m.y_m) <> (b_y > m.y_m) AND m.x_m < (bx - ax) * (m.y_m - ay) / (b_y - ay) + ax)"
 
 
 @query("j8_point_in_polygon", SQL + ", " + _RING + f"SELECT mast_id, county_geoid FROM (SELECT m.mast_id, e.county_geoid, {_INSIDE} AS n FROM mast m, edges e GROUP BY ALL) WHERE n % 2 = 1")
@@ -89,8 +89,8 @@ def _(spark, d):
     return at.join(box, ["bx", "by"]).where(G.contains(F.col("ring"), F.col("x_m"), F.col("y_m"))).select("mast_id", "county_geoid")
 
 
-@query("a10_edge_distance", SQL + ", " + _RING + """SELECT cell, round(min(sqrt(pow(x_m - ax - t * (bx - ax), 2) + pow(y_m - ay - t * (by - ay), 2))), 3) AS dist_m FROM (
-SELECT c.cell, c.x_m, c.y_m, e.*, greatest(0e0, least(1e0, ((x_m - ax) * (bx - ax) + (y_m - ay) * (by - ay)) / ((bx - ax) * (bx - ax) + (by - ay) * (by - ay)))) AS t FROM cells c JOIN edges e USING (county_geoid)) GROUP BY cell""")
+@query("a10_edge_distance", SQL + ", " + _RING + """SELECT cell, round(min(sqrt(pow(x_m - ax - t * (bx - ax), 2) + pow(y_m - ay - t * (b_y - ay), 2))), 3) AS dist_m FROM (
+SELECT c.cell, c.x_m, c.y_m, e.*, greatest(0e0, least(1e0, ((x_m - ax) * (bx - ax) + (y_m - ay) * (b_y - ay)) / ((bx - ax) * (bx - ax) + (b_y - ay) * (b_y - ay)))) AS t FROM cells c JOIN edges e USING (county_geoid)) GROUP BY cell""")
 def _(spark, d):
     c = M.cells(spark, d).select("cell", "county_geoid", "x_m", "y_m")
     return c.join(rings(spark, d), "county_geoid").select("cell", F.round(G.edge_distance(F.col("ring"), F.col("x_m"), F.col("y_m")), 3).alias("dist_m"))

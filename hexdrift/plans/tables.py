@@ -33,7 +33,6 @@ def latest(df: DataFrame, keys: list[str], by: list) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*by))).where("_n = 1").drop("_n")
 
 
-ONE = F.lit(1)
 
 
 @query("s2_resolve_vintages", "SELECT CAST(year(o_orderdate) AS INT) AS vintage FROM orders GROUP BY 1 ORDER BY 1 DESC LIMIT 2")
@@ -58,7 +57,7 @@ def _(spark, d):
 def _(spark, d):
     li = M.table(spark, d, "lineitem").withColumn("provider_id", F.col("l_suppkey"))
     kept = L.shared_scan(li, [1, 2, 3], [("N", 1), ("A", 2)], "l_returnflag", "l_linenumber")
-    return kept.groupBy("l_partkey", "l_suppkey", "l_linenumber").agg(F.count(ONE).alias("n"))
+    return kept.groupBy("l_partkey", "l_suppkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("s12_provider_membership", "SELECT p_partkey FROM part WHERE list_contains(string_split(coalesce(replace(p_type, ' ', ','), ''), ','), 'ECONOMY') OR list_contains(string_split(CAST(p_size AS VARCHAR) || ',' || CAST(p_partkey % 7 AS VARCHAR), ','), '3')")
@@ -72,7 +71,7 @@ def _(spark, d):
 @query("s15_compose_layers", "SELECT cell, max(signal_dbm) AS signal_dbm, count(*) AS parts FROM layer GROUP BY cell", SQL)
 def _(spark, d):
     layer = L.strongest(M.observations(spark, d), ["provider_id", "technology", "vintage", "cell"])
-    return layer.groupBy("cell").agg(F.max("signal_dbm").alias("signal_dbm"), F.count(ONE).alias("parts"))
+    return layer.groupBy("cell").agg(F.max("signal_dbm").alias("signal_dbm"), F.count(F.lit(1)).alias("parts"))
 
 
 @query("s17_cache_completeness", "SELECT p, n_nationkey FROM range(40) t(p), nation WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 40 = p AND s_nationkey = n_nationkey)")
@@ -124,7 +123,7 @@ def _(spark, d):
 
 @query("p2_signal_coercion", "SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber WHEN 1 THEN -105e0 WHEN 2 THEN -95e0 WHEN 3 THEN -85e0 ELSE CAST(l_linenumber AS DOUBLE) END AS dbm, count(*) AS n FROM lineitem GROUP BY ALL")
 def _(spark, d):
-    return M.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", L.signal(F.col("l_linenumber").cast("string")).alias("dbm")).groupBy("l_orderkey", "l_linenumber", "l_partkey", "dbm").agg(F.count(ONE).alias("n"))
+    return M.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", L.signal(F.col("l_linenumber").cast("string")).alias("dbm")).groupBy("l_orderkey", "l_linenumber", "l_partkey", "dbm").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("p3_state_filter", "SELECT s_suppkey FROM supplier WHERE lpad(CAST(s_nationkey AS VARCHAR), 2, '0') IN ('01', '08', '20')")
@@ -170,7 +169,7 @@ def _(spark, d):
 def _(spark, d):
     c, n, r, o = (M.table(spark, d, t) for t in ("customer", "nation", "region", "orders"))
     n = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    counts = o.groupBy("o_custkey").agg(F.count(ONE).alias("orders"))
+    counts = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
     return c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(counts, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "n_name", "r_name", F.coalesce("orders", F.lit(0)).alias("orders"))
 
 
@@ -192,13 +191,13 @@ _MEASURED = "SELECT CAST(user_id % 20 AS INT) AS county, event_type, count(*) AS
 
 @query("a14_measurement_rollup", _MEASURED)
 def _(spark, d):
-    n = F.count(ONE)
-    return M.table(spark, d, "events").groupBy((F.col("user_id") % 20).cast("int").alias("county"), "event_type").agg(n.alias("tests"), F.round(F.sum("value") / F.greatest(n, ONE), 6).alias("dl"), (n >= C.MIN_TESTS).alias("is_measured"))
+    n = F.count(F.lit(1))
+    return M.table(spark, d, "events").groupBy((F.col("user_id") % 20).cast("int").alias("county"), "event_type").agg(n.alias("tests"), F.round(F.sum("value") / F.greatest(n, F.lit(1)), 6).alias("dl"), (n >= C.MIN_TESTS).alias("is_measured"))
 
 
 @query("j5_measurement_gap", "SELECT n_nationkey, CASE WHEN coalesce(n, 0) >= 3 THEN 0e0 ELSE round(n_nationkey / 25e0, 6) END AS gap FROM nation LEFT JOIN (SELECT user_id % 30 AS k, count(*) AS n FROM events WHERE value > 100 GROUP BY 1) ON k = n_nationkey")
 def _(spark, d):
-    m = M.table(spark, d, "events").where("value > 100").groupBy((F.col("user_id") % 30).alias("n_nationkey")).agg(F.count(ONE).alias("n"))
+    m = M.table(spark, d, "events").where("value > 100").groupBy((F.col("user_id") % 30).alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n"))
     gap = F.when(F.coalesce("n", F.lit(0)) >= C.MIN_TESTS, 0.0).otherwise(F.round(F.col("n_nationkey") / F.lit(25.0), 6))
     return M.table(spark, d, "nation").join(m, "n_nationkey", "left").select("n_nationkey", gap.alias("gap"))
 
@@ -231,7 +230,7 @@ def _(spark, d):
     best = nearest(s, M.masts(spark, d).select("mast_id", "x_m", "y_m"), 2000.0, [], ["site_id"], "mast_id")
     every = s.select("site_id").join(best, "site_id", "left")
     at = lambda r: F.count_if(F.col("dist_m") <= r).alias(f"at_{r}")
-    return every.agg(F.count(ONE).alias("sites"), at(250), at(500), at(1000), at(2000), F.round(F.median("dist_m"), 4).alias("median_hit"))
+    return every.agg(F.count(F.lit(1)).alias("sites"), at(250), at(500), at(1000), at(2000), F.round(F.median("dist_m"), 4).alias("median_hit"))
 
 
 @query("t20_asr_anchor", """SELECT site_id, mast_id, round(d1, 4) AS dist_m, d1 <= 750 AND (d2 IS NULL OR d2 > 750 OR d2 >= 1.5 * greatest(d1, 1)) AS snapped FROM (
@@ -273,7 +272,7 @@ def _(spark, d):
 @query("u1_union_all", "SELECT k, count(*) AS n FROM (SELECT s_nationkey AS k FROM supplier UNION ALL SELECT c_nationkey FROM customer) GROUP BY k")
 def _(spark, d):
     both = M.table(spark, d, "supplier").select(F.col("s_nationkey").alias("k")).unionByName(M.table(spark, d, "customer").select(F.col("c_nationkey").alias("k")))
-    return both.groupBy("k").agg(F.count(ONE).alias("n"))
+    return both.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("u2_union_distinct", "SELECT l_partkey AS k FROM lineitem UNION SELECT p_partkey FROM part")
@@ -358,7 +357,7 @@ def _(spark, d):
 @query("f_props_json", "SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS INT)) AS BIGINT) AS total FROM events GROUP BY ALL")
 def _(spark, d):
     k = F.from_json("props", "k int")["k"]
-    return M.table(spark, d, "events").groupBy("event_type").agg(F.count(ONE).alias("n"), F.sum(k).cast("bigint").alias("total"))
+    return M.table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(k).cast("bigint").alias("total"))
 
 
 @query("f_equirectangular", "SELECT s_suppkey, round(sqrt(pow((s_nationkey / 10e0) * 110.57e0, 2) + pow((s_suppkey % 10) / 10e0 * 111.32e0 * cos(radians(s_nationkey)), 2)), 6) AS km FROM supplier")
