@@ -16,8 +16,9 @@ Blocks are found in one of two ways.
   similarity of at least ``threshold``; at 0.8 fingerprints differ in up to some
   18 of 64 bits, too many for tables over fields. Blocks are documents that share the least shingle hash of
   one of eight strata (a pair at 0.8 misses all eight once in 390,000). Bit-sliced comparison at a wide radius
-  discards unlike members and the rest are compared exactly on their shingle
-  hashes. Blocks with too many members are cut by pairs of strata, and those still
+  says which members to compare first; a pair beyond it is ruled out only where the numbers of
+  shingles in ``BINS`` bins differ by more than the threshold allows, which loses nothing. The rest
+  are compared exactly on their shingle hashes. Blocks with too many members are cut by pairs of strata, and those still
   too large are compared in tiles, all of them.
 
 Only one row stands for all copies of a fingerprint or shingle set. A block emits a
@@ -46,6 +47,7 @@ from .common import cut, documents, text_column
 
 SEED = 42
 STRATA = 8
+BINS = 64
 MOST_MEMBERS = 4096
 _LAST = (1 << 63) - 1
 _ONE = np.uint64(1)
@@ -292,11 +294,12 @@ def fingerprint_groups(docs: DataFrame, size: int = 3, radius: int = 2) -> DataF
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (doc, fp, same, least, shingles): identity of the shingle set, least hash of each stratum, the set by 32 bits of its hashes."""
+    """Rows (doc, fp, same, least, size, bins, shingles): fingerprint and identity of the shingle set, least hash of
+    each stratum, the set by 32 bits of its hashes, how many these are, in all and in each bin (255 at most)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[] for _ in kinds]
             held = 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 runs = list(shingle_hashes(text.as_py(), size))
@@ -306,27 +309,69 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 least: list = [None] * STRATA
                 for s, at in zip(kind.tolist(), first.tolist(), strict=True):
                     least[s] = int(unique[at : at + 1].view(np.int64)[0])
-                raw = np.unique((unique >> np.uint64(32)).astype(np.uint32)).tobytes()
-                for col, x in zip(out, (doc, _signed(fingerprint(runs)), xxhash.xxh3_128_digest(unique.tobytes()), least, raw), strict=True):
+                short = np.unique((unique >> np.uint64(32)).astype(np.uint32))
+                bins = np.minimum(np.bincount(short % np.uint32(BINS), minlength=BINS), 255).astype(np.uint8).tobytes()
+                raw = short.tobytes()
+                same = xxhash.xxh3_128_digest(unique.tobytes())
+                for col, x in zip(out, (doc, _signed(fingerprint([unique])), same, least, len(short), bins, raw), strict=True):
                     col.append(x)
                 held += len(raw)
                 if held > 1 << 22:
                     yield _rows(out)
-                    out, held = [[], [], [], [], []], 0
+                    out, held = [[] for _ in kinds], 0
             if out[0]:
                 yield _rows(out)
 
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary())
 
     def _rows(out: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["doc", "fp", "same", "least", "shingles"])
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["doc", "fp", "same", "least", "size", "bins", "shingles"])
 
     slim = docs.select(_doc(docs).alias("doc"), text_column(docs).alias("text"))
-    return slim.mapInArrow(run, "doc bigint, fp bigint, same binary, least array<bigint>, shingles binary")
+    return slim.mapInArrow(run, "doc bigint, fp bigint, same binary, least array<bigint>, size int, bins binary, shingles binary")
 
 
-def _verified(node: np.ndarray, fp: np.ndarray, sets: list[np.ndarray], threshold: float, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forest of one block: members whose sets reach the threshold, looked for only among bit-sliced neighbours."""
+def bins_of(raw: list[bytes]) -> np.ndarray:
+    """Bins (members, BINS) of a block."""
+    return np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BINS)
+
+
+def candidates(size: np.ndarray, bins: np.ndarray, threshold: float, wanted, chunk: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of members of a block that may reach the threshold, of those for which ``wanted(i, j)`` holds.
+
+    Sets of a and b shingles reach it if at most (1 - t) / (1 + t) (a + b) shingles are in
+    one of them only. Their bins differ by no more than that in sum, and neither set has
+    fewer than t times the shingles of the other.
+    """
+    n = len(size)
+    order = np.argsort(size, kind="stable")
+    ranked = size[order]
+    many = np.searchsorted(ranked, ranked / threshold + 1e-6, "right") - np.arange(n) - 1
+    after = np.cumsum(many)
+    low = np.uint64(0x00FF00FF00FF00FF)
+    a = 0
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(after, (after[a - 1] if a else 0) + chunk, "right")))
+        row = np.repeat(np.arange(a, b), many[a:b])
+        other = row + 1 + np.arange(len(row)) - np.repeat(np.cumsum(many[a:b]) - many[a:b], many[a:b])
+        i, j = order[row], order[other]
+        on = wanted(i, j)
+        i, j = i[on], j[on]
+        if len(i):
+            x, y = bins[i], bins[j]
+            gap = (np.maximum(x, y) - np.minimum(x, y)).view("<u8")
+            lanes = ((gap & low) + (gap >> np.uint64(8) & low)).sum(axis=1)  # four sums of 16 bits each
+            apart = np.zeros(len(i), np.int64)
+            for d in range(0, 64, 16):
+                apart += (lanes >> np.uint64(d) & np.uint64(0xFFFF)).astype(np.int64)
+            on = apart * (1 + threshold) <= (1 - threshold) * (size[i] + size[j]) + 1e-6
+            if on.any():
+                yield i[on], j[on]
+        a = b
+
+
+def _verified(node: np.ndarray, fp: np.ndarray, bins: np.ndarray, sets: list[np.ndarray], threshold: float, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Forest of one block: members whose sets reach the threshold, looked for among bit-sliced neighbours, then among all candidates."""
     n = len(node)
     forest = Forest(n)
     size = np.array([len(s) for s in sets])
@@ -337,25 +382,27 @@ def _verified(node: np.ndarray, fp: np.ndarray, sets: list[np.ndarray], threshol
     holder = owner[order]
     bounds = np.concatenate([[0], np.cumsum(np.bincount(code))])
     begin = np.cumsum(size) - size
-    near: dict[int, list[np.ndarray]] = {}
-    for i, j in links(fp.view(np.uint64), np.array([n]), radius):
-        cuts = np.flatnonzero(np.diff(i)) + 1
-        for a, b in zip(np.split(i, cuts), np.split(j, cuts), strict=True):
-            near.setdefault(int(a[0]), []).append(b)
-    for i, parts in near.items():
-        j = np.concatenate(parts)
-        j = j[forest.root[j] != forest.root[i]]
-        if not len(j):
-            continue
-        c = code[begin[i] : begin[i] + size[i]]
-        if len(j) > 8:
-            at = np.concatenate([holder[bounds[x] : bounds[x + 1]] for x in c.tolist()]) if len(c) else np.zeros(0, np.int64)
-            shared = np.bincount(at, minlength=n)[j]
-        else:
-            shared = np.array([np.isin(code[begin[k] : begin[k] + size[k]], c).sum() for k in j.tolist()])
-        whole = size[i] + size[j] - shared
-        good = j[shared >= threshold * whole]
-        forest.join(np.full(len(good), i), good)
+    apart = lambda i, j: forest.root[i] != forest.root[j]
+    for pairs in (links(fp.view(np.uint64), np.array([n]), radius), candidates(size, bins, threshold, apart)):
+        near: dict[int, list[np.ndarray]] = {}
+        for i, j in pairs:
+            cuts = np.flatnonzero(np.diff(i)) + 1
+            for a, b in zip(np.split(i, cuts), np.split(j, cuts), strict=True):
+                near.setdefault(int(a[0]), []).append(b)
+        for i, parts in near.items():
+            j = np.concatenate(parts)
+            j = j[forest.root[j] != forest.root[i]]
+            if not len(j):
+                continue
+            c = code[begin[i] : begin[i] + size[i]]
+            if len(j) > 8:
+                at = np.concatenate([holder[bounds[x] : bounds[x + 1]] for x in c.tolist()]) if len(c) else np.zeros(0, np.int64)
+                shared = np.bincount(at, minlength=n)[j]
+            else:
+                shared = np.array([np.isin(code[begin[k] : begin[k] + size[k]], c).sum() for k in j.tolist()])
+            whole = size[i] + size[j] - shared
+            good = j[shared >= threshold * whole]
+            forest.join(np.full(len(good), i), good)
     on = np.flatnonzero(forest.root != np.arange(n))
     return node[on], node[forest.root[on]]
 
@@ -375,52 +422,55 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[l
         yield held
 
 
-def _alike(blocks: DataFrame, radius: int) -> DataFrame:
-    """Members (block, doc) of blocks (block, doc, fp) that have another one within the radius."""
+def _alike(blocks: DataFrame, threshold: float, radius: int) -> DataFrame:
+    """Members (block, doc) of blocks (block, doc, fp, size, bins) that have another one within the radius or that may reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, doc, fp in _in_blocks(batches, 3):
+        for block, doc, fp, size, bins in _in_blocks(batches, 5):
             near = np.zeros(len(doc), bool)
             for i, j in links(np.array(fp, np.int64).view(np.uint64), np.array([len(doc)]), radius):
                 near[i] = near[j] = True
+            for i, j in candidates(np.array(size), bins_of(bins), threshold, lambda i, j, near=near: ~(near[i] & near[j])):
+                near[i] = near[j] = True
             on = np.flatnonzero(near)
             yield pa.RecordBatch.from_arrays([pa.array(np.array(block, np.int64)[on]), pa.array(np.array(doc, np.int64)[on])], ["block", "doc"])
 
-    dealt = blocks.select("block", "doc", "fp").repartition("block").sortWithinPartitions("block", "doc")
+    dealt = blocks.select("block", "doc", "fp", "size", "bins").repartition("block").sortWithinPartitions("block", "doc")
     return dealt.mapInArrow(run, "block bigint, doc bigint")
 
 
 def similar_edges(nodes: DataFrame, sets: DataFrame, threshold: float, radius: int, most: int = MOST_MEMBERS) -> DataFrame:
-    """Edges between rows (doc, fp, least) of different shingle sets at ``threshold`` or more; ``sets`` has (doc, fp, shingles)."""
+    """Edges between rows (doc, fp, least, size, bins) of different shingle sets at ``threshold`` or more; ``sets`` has (doc, fp, bins, shingles)."""
+    own = ["doc", "fp", "size", "bins"]
     strata = F.transform(F.col("least"), lambda x, i: F.when(x.isNotNull(), F.struct(i.alias("i"), F.lit(-1).alias("k"), x.alias("x"), F.lit(0).cast("bigint").alias("y"))))
-    keys = cut(nodes.select("doc", "fp", F.explode(F.filter(strata, lambda s: s.isNotNull())).alias("key")), "strata")
+    keys = cut(nodes.select(*own, F.explode(F.filter(strata, lambda s: s.isNotNull())).alias("key")), "strata")
     count = lambda t: t.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sizes = cut(count(keys), "sizes")
     placed = keys.join(sizes, "key")
-    blocks = placed.where(F.col("n") <= most).select("doc", "fp", "key", F.lit(0).alias("tile"))
+    blocks = placed.where(F.col("n") <= most).select(*own, "key", F.lit(0).alias("tile"))
     if not sizes.where(F.col("n") > most).isEmpty():
         # Members of too large blocks meet where a second stratum agrees as well.
-        hot = placed.where(F.col("n") > most).select("doc", "fp", "key")
+        hot = placed.where(F.col("n") > most).select(*own, "key")
         pair = F.transform(F.col("least"), lambda x, k: F.when(x.isNotNull() & (k != F.col("key.i")), F.struct(F.col("key.i").alias("i"), k.alias("k"), F.col("key.x").alias("x"), x.alias("y"))))
-        finer = cut(hot.join(nodes.select("doc", "fp", "least"), ["doc", "fp"]).select("doc", "fp", F.explode(F.filter(pair, lambda s: s.isNotNull())).alias("key")), "finer")
+        finer = cut(hot.join(nodes.select("doc", "fp", "least"), ["doc", "fp"]).select(*own, F.explode(F.filter(pair, lambda s: s.isNotNull())).alias("key")), "finer")
         sized = finer.join(cut(count(finer), "sizes"), "key")
-        blocks = blocks.unionByName(sized.where(F.col("n") <= most).select("doc", "fp", "key", F.lit(0).alias("tile")))
+        blocks = blocks.unionByName(sized.where(F.col("n") <= most).select(*own, "key", F.lit(0).alias("tile")))
         # What is still too large is dealt into tiles, and every two tiles meet.
         tiles = F.ceil(F.col("n") * 2 / most).cast("int")
-        dealt = sized.where(F.col("n") > most).select("doc", "fp", "key", tiles.alias("g"), F.pmod(F.xxhash64("doc"), tiles).cast("int").alias("a"))
-        other = dealt.select("doc", "fp", "key", "g", "a", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("b"))
+        dealt = sized.where(F.col("n") > most).select(*own, "key", tiles.alias("g"), F.pmod(F.xxhash64("doc"), tiles).cast("int").alias("a"))
+        other = dealt.select(*own, "key", "g", "a", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("b"))
         met = F.least("a", "b") * F.col("g") + F.greatest("a", "b") + 1
-        blocks = blocks.unionByName(other.select("doc", "fp", "key", met.cast("int").alias("tile")))
-    members = cut(_alike(blocks.select("doc", "fp", F.xxhash64("key", "tile").alias("block")), radius), "alike")
-    loaded = members.join(sets.select("doc", "fp", "shingles"), "doc")
+        blocks = blocks.unionByName(other.select(*own, "key", met.cast("int").alias("tile")))
+    members = cut(_alike(blocks.select(*own, F.xxhash64("key", "tile").alias("block")), threshold, radius), "alike")
+    loaded = members.join(sets.select("doc", "fp", "bins", "shingles"), "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, doc, fp, raw in _in_blocks(batches, 4):
-            own = [np.frombuffer(x, np.uint32) for x in raw]
-            u, v = _verified(np.array(doc, np.int64), np.array(fp, np.int64), own, threshold, radius)
+        for _, doc, fp, bins, raw in _in_blocks(batches, 5):
+            shingles = [np.frombuffer(x, np.uint32) for x in raw]
+            u, v = _verified(np.array(doc, np.int64), np.array(fp, np.int64), bins_of(bins), shingles, threshold, radius)
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    grouped = loaded.select("block", "doc", "fp", "shingles").repartition("block").sortWithinPartitions("block", "doc")
+    grouped = loaded.select("block", "doc", "fp", "bins", "shingles").repartition("block").sortWithinPartitions("block", "doc")
     return grouped.mapInArrow(run, "u bigint, v bigint")
 
 
@@ -430,7 +480,7 @@ def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, radiu
     first = rows.groupBy("same").agg(F.min("doc").alias("node"))
     names = cut(rows.select("doc", "same").join(first, "same").select("doc", "same", "node").distinct(), "names")
     chosen = names.where("doc = node").select("doc", "same")
-    nodes = cut(rows.select("doc", "same", "fp", "least").join(chosen, ["doc", "same"], "left_semi").dropDuplicates(["doc", "same"]).drop("same"), "nodes")
+    nodes = cut(rows.select("doc", "same", "fp", "least", "size", "bins").join(chosen, ["doc", "same"], "left_semi").dropDuplicates(["doc", "same"]).drop("same"), "nodes")
     edges = similar_edges(nodes, rows, threshold, radius)
     found = components(edges.unionByName(names.select(F.col("doc").alias("u"), F.col("node").alias("v"))))
     null = lambda c: F.when(F.col(c) != _LAST, F.col(c))

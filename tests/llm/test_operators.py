@@ -333,6 +333,29 @@ def test_similar_groups(spark, most, monkeypatch):
     assert simhash.one_of_each(docs).columns == ["doc_id", "text"]
 
 
+def test_similar_groups_repeated_lines(spark):
+    """Near copies that differ in how often a line is repeated: the sets are alike, the counts are not."""
+    rnd = random.Random(9)
+    texts = []
+    for times in (5, 10, 20, 40) * 10:
+        body, line = ([f"w{rnd.randrange(10**6)}" for _ in range(n)] for n in (200, 20))
+        texts += [" ".join(body + line), " ".join(body + line * times)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_candidates_lose_nothing():
+    rng = np.random.default_rng(10)
+    base = [rng.choice(1 << 20, int(rng.integers(1, 900)), replace=False) for _ in range(40)]
+    sets = [frozenset(np.concatenate([b[: max(1, int(len(b) * f))], rng.choice(1 << 20, int(len(b) * g))]).tolist()) for b in base for f, g in ((1, 0), (0.95, 0), (0.85, 0.02), (0.8, 0), (1, 0.3))]
+    size = np.array([len(x) for x in sets])
+    bins = np.array([np.minimum(np.bincount([v % simhash.BINS for v in x], minlength=simhash.BINS), 255) for x in sets]).astype(np.uint8)
+    got = {(min(p), max(p)) for i, j in simhash.candidates(size, bins, 0.8, lambda i, j: np.ones(len(i), bool), chunk=500) for p in zip(i.tolist(), j.tolist(), strict=True)}
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert want <= got and len(want) > 80 and len(got) < len(sets) * (len(sets) - 1) / 8
+
+
 def test_simhash_edges(odd, none):
     rows = {r.doc_id: r for r in simhash.fingerprint_groups(odd).collect()}
     assert rows[0].component_id == rows[1].component_id == rows[12].component_id == 0 and rows[0].fp == 0
