@@ -243,6 +243,15 @@ def test_toxicity_learns(spark, none):
     assert toxicity.fit(docs, marked.where("false")).score(0.0) < 0.01
 
 
+def test_toxicity_keeps_the_class_ratio(spark):
+    """Labels that no text explains: a score is the share of toxic rows, however few rows of a class are drawn."""
+    rnd = random.Random(11)
+    docs = spark.createDataFrame([(i, " ".join(rnd.choices("abcdefghij", k=12))) for i in range(3000)], "doc_id long, text string")
+    marked = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(3000)], "doc_id long, toxic int")
+    scores = [r.score for r in toxicity.score(docs, toxicity.fit(docs, marked, 200), []).collect()]
+    assert 0.05 < sum(scores) / len(scores) < 0.2
+
+
 def _components(n, linked):
     root = list(range(n))
 
