@@ -252,6 +252,18 @@ def test_toxicity_keeps_the_class_ratio(spark):
     assert 0.05 < sum(scores) / len(scores) < 0.2
 
 
+def test_toxicity_counts_all_rows(spark):
+    """An expression of few rows counts, however low the bound of the curve's rows; ratios are those of the tree."""
+    rnd = random.Random(12)
+    texts = [" ".join(rnd.choices("abcdefghij", k=12)) + (" vilestuff" if i % 10 == 0 else "") + (f" rareword{i % 400}" if i % 10 == 0 else "") for i in range(2400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(2400)], "doc_id long, toxic int")
+    few, all_ = (toxicity.fit(docs, marked, n) for n in (40, 10**6))
+    assert len(few.keys) > 0.9 * len(all_.keys) > 0
+    few._learn([b"vilestuff", b"vilestuffer", b"a"])
+    assert few.cache[b"vilestuff"] > 0.3 and few.cache[b"vilestuffer"] > 0.1 and abs(few.cache[b"a"]) < 0.5
+
+
 def _components(n, linked):
     root = list(range(n))
 
