@@ -252,16 +252,78 @@ def test_toxicity_keeps_the_class_ratio(spark):
     assert 0.05 < sum(scores) / len(scores) < 0.2
 
 
-def test_toxicity_counts_all_rows(spark):
-    """An expression of few rows counts, however low the bound of the curve's rows; ratios are those of the tree."""
+def _toxicity_ratios(rows):
+    """The two models by their definition, over dictionaries."""
+    seen = set()
+    for text, c in rows:
+        own = ["", "", *[w.decode() for w in words(text)]]
+        seen |= {(c, *x) for x in zip(own, own[1:], own[2:])}
+    pair, before, contexts, kinds = Counter(), Counter(), Counter(), Counter()
+    for c, _, h, w in seen:
+        pair[c, h, w] += 1
+        contexts[c, w] += 1
+    for c, _, w in pair:
+        before[c, w] += 1
+    for _, w in {(h, w) for _, h, w in pair}:
+        kinds[w] += 1
+    d, word, other, v = toxicity.DISCOUNT, toxicity.WORD, toxicity.PAIR, len(kinds)
+    every = [sum(n for (c, _), n in before.items() if c == k) for k in (0, 1)]
+    own = [sum(c == k for c, _ in before) for k in (0, 1)]
+    shared = {w: (max(n - d, 0) + d * v / (v + 1)) / sum(kinds.values()) for w, n in kinds.items()}
+    p = {w: [(max(before[c, w] - d, 0) + (d * own[c] + word) * shared[w]) / (every[c] + word) for c in (0, 1)] for w in kinds}
+    ratio = {w: np.log(x[1] / x[0]) for w, x in p.items()}
+    ratio = {w: x for w, x in ratio.items() if abs(x) >= toxicity.NEUTRAL}
+    pairs = {}
+    for h, w in {(h, w) for _, h, w in pair if h}:
+        n = [pair[c, h, w] for c in (0, 1)]
+        t = [contexts[c, h] for c in (0, 1)]
+        if sum(n) > 1:
+            q = [(max(n[c] - d, 0) + (d * before[c, h] + other) * sum(n) / sum(t) * p[w][c] / shared[w]) / (t[c] + other) for c in (0, 1)]
+            x = np.log(q[1] / q[0])
+            if abs(x - ratio.get(w, 0)) >= toxicity.NEUTRAL:
+                pairs[h, w] = x
+    return ratio, pairs
+
+
+@pytest.mark.parametrize("hot", [1 / 1000, 1 / 20])
+def test_toxicity_models(spark, monkeypatch, hot):
+    """Ratios of words and pairs against their definition; a pair of harmless words is learnt as well."""
+    for name, value in (("HOT", hot), ("NEUTRAL", 0.4), ("PAIR", 5.0)):
+        monkeypatch.setattr(toxicity, name, value)
     rnd = random.Random(12)
-    texts = [" ".join(rnd.choices("abcdefghij", k=12)) + (" vilestuff" if i % 10 == 0 else "") + (f" rareword{i % 400}" if i % 10 == 0 else "") for i in range(2400)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    marked = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(2400)], "doc_id long, toxic int")
-    few, all_ = (toxicity.fit(docs, marked, n) for n in (40, 10**6))
-    assert len(few.keys) > 0.9 * len(all_.keys) > 0
-    few._learn([b"vilestuff", b"vilestuffer", b"a"])
-    assert few.cache[b"vilestuff"] > 0.3 and few.cache[b"vilestuffer"] > 0.1 and abs(few.cache[b"a"]) < 0.5
+    pool = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(900):
+        own = rnd.choices(pool, k=rnd.randrange(10, 40)) + rnd.choices(["up", "yours"], k=3)
+        rnd.shuffle(own)
+        if i % 10 == 0:
+            for _ in range(12):
+                at = rnd.randrange(len(own) + 1)
+                own[at:at] = rnd.choice([["up", "yours"], ["up", "yours"], ["nasty"]])
+        texts.append(" ".join(own))
+    texts += [texts[0]] * 30 + ["", "one"]
+    rows = [(t, int(i % 10 == 0)) for i, t in enumerate(texts)]
+    sample = spark.createDataFrame(rows, "text string, toxic int").repartition(3)
+    own, pairs = toxicity.ratios(sample)
+    ratio, told = _toxicity_ratios(rows)
+    assert {r.w: pytest.approx(r.ratio) for r in own.collect()} == {toxicity.code(w.encode()): x for w, x in ratio.items()}
+    assert {(r.h, r.w): pytest.approx(r.ratio) for r in pairs.collect()} == {tuple(toxicity.code(x.encode()) for x in k): v for k, v in told.items()}
+    assert "nasty" in ratio and ("up", "yours") in told
+
+
+def test_toxicity_short_and_long_texts(spark, odd):
+    """One toxic word is enough, alone, repeated or among others; very long texts and clashing columns are read alike."""
+    rnd = random.Random(4)
+    pool = ["".join(rnd.choices("abcdefghij", k=4)) for _ in range(400)]
+    texts = [" ".join(rnd.choices(pool, k=30) + (["vile", *rnd.choices(pool, k=3), "vile"] if i % 5 == 0 else [])) for i in range(600)]
+    docs = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)], "doc_id long, text string, score double")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int"))
+    short = ["vile", "vile vile", "vile word", "word vile vile", " ".join(pool[:10] + ["vile"]), "word", "", pool[0]]
+    got = [model.score(x) >= toxicity.THRESHOLD for x in model.evidence(short)]
+    assert got == [True] * 5 + [False] * 3
+    assert toxicity.score(odd, model, odd.columns).count() == odd.count()
+    marked = toxicity.score(docs, model, docs.columns).collect()
+    assert all(r.row.score == 0.5 for r in marked)
 
 
 def _components(n, linked):
