@@ -16,12 +16,14 @@ _own_dirs: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """URI of a folder that driver and executors share.
 
-    It lies under ``spark.checkpoint.dir``. Only where that is unset (tests on
-    one machine) a temporary folder takes its place.
+    It lies under ``spark.checkpoint.dir``. Only where that is unset and Spark runs
+    on one machine a temporary folder takes its place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if app not in _own_dirs:
             _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="hexdrift-")
         base = _own_dirs[app]
@@ -66,6 +68,30 @@ def text_column(df: DataFrame, name: str = "text"):
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
+def row_key(df: DataFrame, digest=None):
+    """Digest of a row's doc_id and text, or of its doc_id and its text's SHA-256 ``digest``."""
+    digest = F.sha2(text_column(df), 256) if digest is None else F.lower(F.hex(digest))
+    return F.unhex(F.sha2(F.concat_ws(":", df["doc_id"].cast("bigint").cast("string"), digest), 256))
+
+
+def keep_rows(docs: DataFrame, told: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay by decisions (key, keep), one for each row's ``row_key``.
+
+    Of rows with one key, as many are equal in doc_id and text, so that it does not matter which
+    of them stays: none where no decision says 1, else one. Only keys of which
+    rows go take part in the join, which Spark broadcasts while they are few.
+    """
+    keys = told.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("keep").alias("keep")).where("n > 1 OR keep = 0")
+    keys = cut(keys.select(F.col("key").alias("_hd_key"), F.col("keep").alias("_hd_keep")), "going")
+    marked = docs.withColumn("_hd_key", row_key(docs))
+    out = marked.join(keys.select("_hd_key"), "_hd_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    if keys.where("_hd_keep = 1").isEmpty():
+        return out
+    whole = F.any_value(F.struct(*[marked[f"`{c}`"] for c in docs.columns])).alias("_hd_row")
+    once = marked.join(keys.where("_hd_keep = 1").select("_hd_key"), "_hd_key", "left_semi").groupBy("_hd_key").agg(whole)
+    return out.unionByName(once.select(*[F.col("_hd_row").getField(c).alias(c) for c in docs.columns]))
+
+
 #: ASCII characters other than letters, digits and _ separate words, as do these ranges.
 _SEPARATORS = bytes(c if c > 127 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
 _UNICODE_SEPARATORS = re.compile(

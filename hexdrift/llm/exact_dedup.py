@@ -18,10 +18,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, documents, text_column
+from .common import cut, documents, keep_rows, row_key, text_column
 
 BUCKETS = 32
 
@@ -102,16 +101,8 @@ def dedup_batch(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    kept = dedup_batch(docs).where("kept").select(F.col("doc_id").alias("_hd_id"), F.col("digest").alias("_hd_digest"))
-    marked = docs.withColumn("_hd_key", F.unhex(F.sha2(text_column(docs), 256)))
-    same = marked["doc_id"].cast("bigint").eqNullSafe(kept["_hd_id"]) & (marked["_hd_key"] == kept["_hd_digest"])
-    once = W.partitionBy("_hd_id", "_hd_digest").orderBy(F.lit(1))
-    return (
-        marked.join(kept, same)
-        .withColumn("_hd_n", F.row_number().over(once))
-        .where("_hd_n = 1")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    rows = dedup_batch(docs)
+    return keep_rows(docs, rows.select(row_key(rows, rows["digest"]).alias("key"), F.col("kept").cast("int").alias("keep")))
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,9 @@ Blocks are found in one of two ways.
   one of eight strata (a pair at 0.8 misses all eight once in 390,000). Bit-sliced comparison at a wide radius
   says which members to compare first; a pair beyond it is ruled out only where the numbers of
   shingles in ``BINS`` bins differ by more than the threshold allows, which loses nothing. The rest
-  are compared exactly on their shingle hashes. Blocks with too many members are cut by pairs of strata, and those still
-  too large are compared in tiles, all of them.
+  are compared exactly on their shingle hashes. In blocks with more than ``MOST_ALIKE`` members, all are compared with
+  a few leaders first. Those that link to the same leader need no comparison with each other; what is left meets all
+  others where a second stratum agrees as well, in tiles if there are still too many. No task gets a whole large block.
 
 Only one row stands for all copies of a fingerprint or shingle set. A block emits a
 forest, not pairs. Components are joined by star contraction over written
@@ -27,8 +28,9 @@ tables; no link list reaches the driver.
 
 Defined results: a null text is empty; texts without words have fingerprint zero
 and form a group as any others do. Fewer words than a shingle count as one
-shingle. A null doc_id ranks above all others and is returned as null. Rows with the
-same doc_id are one node. An empty input gives an empty result. Whole
+shingle. Every row is a node of its own, whatever its doc_id: rows with a null or a repeated doc_id are linked by
+their texts alone. A null doc_id ranks above all others, and a group of such rows only has a null
+component_id. Of each group exactly one row stays, one of least doc_id. An empty input gives an empty result. Whole
 texts are read; other columns are not looked at.
 """
 
@@ -43,13 +45,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, text_column
+from .common import cut, documents, keep_rows, row_key, text_column
 
 SEED = 42
 STRATA = 8
 BINS = 64
 MOST_MEMBERS = 4096
-_LAST = (1 << 63) - 1
+#: Members of a block compared in one task, and leaders of a larger one.
+MOST_ALIKE, LEADERS = 1024, 3
 _ONE = np.uint64(1)
 
 
@@ -86,7 +89,7 @@ def fingerprint(runs: list[np.ndarray]) -> int:
 
 
 def _doc(df: DataFrame):
-    return F.coalesce(df["doc_id"].cast("bigint"), F.lit(_LAST))
+    return df["doc_id"].cast("bigint")
 
 
 def fingerprints(docs: DataFrame, size: int) -> DataFrame:
@@ -116,32 +119,44 @@ def planes_of(fps: np.ndarray) -> np.ndarray:
     return out
 
 
+def _add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Carry-save adder: sum and carry of three bits in every lane."""
+    u = a ^ b
+    return u ^ c, (a & b) | (u & c)
+
+
 def within(planes: np.ndarray, query: np.ndarray, word: np.ndarray, radius: int) -> np.ndarray:
     """For pairs of a query and a word of members: the members at ``radius`` bits or fewer, as a mask."""
-    digits = max(1, radius.bit_length())
     out = np.zeros(len(query), np.uint64)
     live = np.arange(len(query))
-    over = np.zeros(len(query), np.uint64)
-    count = [np.zeros(len(query), np.uint64) for _ in range(digits)]
-    for p in range(64):
-        carry = planes[p, word] ^ (np.uint64(0) - (query >> np.uint64(p) & _ONE))
-        for d in range(digits):
+    count = [np.zeros(len(query), np.uint64) for _ in range(7)]  # bits of value 1, 2, 4, ... 64
+    for p in range(0, 64, 8):
+        x = [planes[k, word] ^ (np.uint64(0) - (query >> np.uint64(k) & _ONE)) for k in range(p, p + 8)]
+        fours = []
+        for k in (0, 4):
+            count[0], low = _add(count[0], x[k], x[k + 1])
+            count[0], high = _add(count[0], x[k + 2], x[k + 3])
+            count[1], four = _add(count[1], low, high)
+            fours.append(four)
+        count[2], carry = _add(count[2], *fours)
+        for d in range(3, 7):
             count[d], carry = count[d] ^ carry, count[d] & carry
-        over |= carry
-        if p % 8 == 7 and p < 63:
-            on = _far(count, over, radius) != ~np.uint64(0)
-            if not on.all():
-                live, query, word, over = live[on], query[on], word[on], over[on]
-                count = [c[on] for c in count]
-                if not len(live):
-                    return out
-    out[live] = ~_far(count, over, radius)
+        far = _far(count, radius)
+        if p == 56:
+            out[live] = ~far
+            break
+        on = far != ~np.uint64(0)
+        if not on.all():
+            live, query, word = live[on], query[on], word[on]
+            count = [c[on] for c in count]
+            if not len(live):
+                break
     return out
 
 
-def _far(count: list[np.ndarray], over: np.ndarray, radius: int) -> np.ndarray:
+def _far(count: list[np.ndarray], radius: int) -> np.ndarray:
     """Mask of the lanes whose counter is above ``radius``."""
-    above, equal = over.copy(), ~over
+    above, equal = np.zeros_like(count[0]), np.full_like(count[0], ~np.uint64(0))
     for d in reversed(range(len(count))):
         if radius >> d & 1:
             equal &= count[d]
@@ -279,29 +294,27 @@ def fingerprint_edges(nodes: DataFrame, radius: int, most: int = MOST_MEMBERS) -
 def fingerprint_groups(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
     """doc_id, fp (signed) and component_id: the least doc_id that links of ``radius`` bits reach."""
     rows = cut(fingerprints(docs, size), "fingerprints")
-    nodes = cut(rows.groupBy("fp").agg(F.min("doc").alias("node")), "nodes")
-    # A doc_id that occurs with several texts joins their fingerprints.
-    several = rows.groupBy("doc").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b").select("doc")
-    own = rows.join(several, "doc").join(nodes, "fp").select(F.col("node").alias("u"), F.col("doc").alias("v")).where("u <> v")
-    found = components(fingerprint_edges(nodes, radius).unionByName(own))
-    label = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    named = rows.join(label, "fp")
-    null = lambda c: F.when(F.col(c) != _LAST, F.col(c))
-    return named.select(null("doc").alias("doc_id"), "fp", null("component").alias("component_id"))
+    nodes = cut(rows.groupBy(F.col("fp").alias("node")).agg(F.min("doc").alias("least")), "nodes")
+    found = components(fingerprint_edges(nodes.select("node", F.col("node").alias("fp")), radius))
+    label = cut(nodes.join(found, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component")), "label")
+    named = label.groupBy("component").agg(F.min("least").alias("component_id"))
+    told = label.join(named, "component").select(F.col("node").alias("fp"), "component_id")
+    return rows.join(told, "fp").select(F.col("doc").alias("doc_id"), "fp", "component_id")
 
 
 # --- similarity of shingle sets ----------------------------------------------
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (doc, fp, same, least, size, bins, shingles): fingerprint and identity of the shingle set, least hash of
-    each stratum, the set by 32 bits of its hashes, how many these are, in all and in each bin (255 at most)."""
+    """Rows (row, doc, key, fp, same, least, size, bins, shingles): number and key of the row, fingerprint and identity of
+    the shingle set, least hash of each stratum, the set by 32 bits of its hashes, how many these are, in all and in
+    each bin (255 at most). The row's number holds once the table is written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in kinds]
             held = 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 runs = list(shingle_hashes(text.as_py(), size))
                 unique = np.unique(np.concatenate(runs)) if runs else np.zeros(0, np.uint64)
                 stratum = (unique >> np.uint64(7)) % np.uint64(STRATA)
@@ -313,7 +326,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                 bins = np.minimum(np.bincount(short % np.uint32(BINS), minlength=BINS), 255).astype(np.uint8).tobytes()
                 raw = short.tobytes()
                 same = xxhash.xxh3_128_digest(unique.tobytes())
-                for col, x in zip(out, (doc, _signed(fingerprint([unique])), same, least, len(short), bins, raw), strict=True):
+                for col, x in zip(out, (doc, key, _signed(fingerprint([unique])), same, least, len(short), bins, raw), strict=True):
                     col.append(x)
                 held += len(raw)
                 if held > 1 << 22:
@@ -322,13 +335,14 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             if out[0]:
                 yield _rows(out)
 
-    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary())
+    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary())
 
     def _rows(out: list[list]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["doc", "fp", "same", "least", "size", "bins", "shingles"])
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["doc", "key", "fp", "same", "least", "size", "bins", "shingles"])
 
-    slim = docs.select(_doc(docs).alias("doc"), text_column(docs).alias("text"))
-    return slim.mapInArrow(run, "doc bigint, fp bigint, same binary, least array<bigint>, size int, bins binary, shingles binary")
+    slim = docs.select(_doc(docs).alias("doc"), row_key(docs).alias("key"), text_column(docs).alias("text"))
+    rows = slim.mapInArrow(run, "doc bigint, key binary, fp bigint, same binary, least array<bigint>, size int, bins binary, shingles binary")
+    return rows.withColumn("row", F.monotonically_increasing_id())
 
 
 def bins_of(raw: list[bytes]) -> np.ndarray:
@@ -423,78 +437,137 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[l
 
 
 def _alike(blocks: DataFrame, threshold: float, radius: int) -> DataFrame:
-    """Members (block, doc) of blocks (block, doc, fp, size, bins) that have another one within the radius or that may reach the threshold."""
+    """Members (block, node) of blocks (block, node, fp, size, bins) that have another one within the radius or that may reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, doc, fp, size, bins in _in_blocks(batches, 5):
-            near = np.zeros(len(doc), bool)
-            for i, j in links(np.array(fp, np.int64).view(np.uint64), np.array([len(doc)]), radius):
+        for block, node, fp, size, bins in _in_blocks(batches, 5):
+            near = np.zeros(len(node), bool)
+            for i, j in links(np.array(fp, np.int64).view(np.uint64), np.array([len(node)]), radius):
                 near[i] = near[j] = True
             for i, j in candidates(np.array(size), bins_of(bins), threshold, lambda i, j, near=near: ~(near[i] & near[j])):
                 near[i] = near[j] = True
             on = np.flatnonzero(near)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(block, np.int64)[on]), pa.array(np.array(doc, np.int64)[on])], ["block", "doc"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(block, np.int64)[on]), pa.array(np.array(node, np.int64)[on])], ["block", "node"])
 
-    dealt = blocks.select("block", "doc", "fp", "size", "bins").repartition("block").sortWithinPartitions("block", "doc")
-    return dealt.mapInArrow(run, "block bigint, doc bigint")
+    dealt = blocks.select("block", "node", "fp", "size", "bins").repartition("block").sortWithinPartitions("block", "node")
+    return dealt.mapInArrow(run, "block bigint, node bigint")
 
 
-def similar_edges(nodes: DataFrame, sets: DataFrame, threshold: float, radius: int, most: int = MOST_MEMBERS) -> DataFrame:
-    """Edges between rows (doc, fp, least, size, bins) of different shingle sets at ``threshold`` or more; ``sets`` has (doc, fp, bins, shingles)."""
-    own = ["doc", "fp", "size", "bins"]
+def _leader_edges(members: DataFrame, sets: DataFrame, threshold: float, most: int) -> DataFrame:
+    """Edges (u, v) of the members (key, node) of large blocks that reach the threshold with a leader v of theirs.
+
+    Leaders are the members of least hash, so that blocks which share most members share
+    leaders, too. The members of a leader are dealt to as many parts as hold ``most`` of them each.
+    """
+    by_hash = F.struct(F.xxhash64("node", F.lit(7)).alias("h"), F.col("node"))
+    leaders = members.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(LEADERS)).alias("part")).agg(F.min(by_hash).alias("l")).select("key", F.col("l.node").alias("leader"))
+    pairs = cut(members.select("key", "node").join(leaders, "key").where("node <> leader").select("node", "leader").distinct(), "led")
+    parts = cut(pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("parts")), "parts")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    led = pairs.join(parts, "leader").select("leader", part.alias("part"), "node").join(sets.select("node", "shingles"), "node")
+    first = parts.join(sets.select(F.col("node").alias("leader"), "shingles"), "leader")
+    first = first.select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("bigint").alias("node"), "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(0, np.uint32)
+        for batch in batches:
+            u: list[int] = []
+            v: list[int] = []
+            for leader, node, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                values = np.frombuffer(raw, np.uint32)
+                if node is None:
+                    own = values
+                    continue
+                at = np.minimum(np.searchsorted(own, values), max(0, len(own) - 1))
+                shared = int((own[at] == values).sum()) if len(own) else 0
+                if shared >= threshold * (len(own) + len(values) - shared):
+                    u.append(node)
+                    v.append(leader)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    dealt = first.unionByName(led.select("leader", "part", "node", "shingles")).repartition("leader", "part")
+    ordered = dealt.sortWithinPartitions("leader", "part", F.col("node").asc_nulls_first())
+    return ordered.select("leader", "node", "shingles").mapInArrow(run, "u bigint, v bigint")
+
+
+def similar_edges(nodes: DataFrame, sets: DataFrame, threshold: float, radius: int, most: int = MOST_ALIKE) -> DataFrame:
+    """Edges between rows (node, fp, least, size, bins) of different shingle sets at ``threshold`` or more; ``sets`` has (node, fp, bins, shingles)."""
+    own = ["node", "fp", "size", "bins"]
     strata = F.transform(F.col("least"), lambda x, i: F.when(x.isNotNull(), F.struct(i.alias("i"), F.lit(-1).alias("k"), x.alias("x"), F.lit(0).cast("bigint").alias("y"))))
     keys = cut(nodes.select(*own, F.explode(F.filter(strata, lambda s: s.isNotNull())).alias("key")), "strata")
-    count = lambda t: t.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sizes = cut(count(keys), "sizes")
+    sizes = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
     placed = keys.join(sizes, "key")
     blocks = placed.where(F.col("n") <= most).select(*own, "key", F.lit(0).alias("tile"))
+    led = None
     if not sizes.where(F.col("n") > most).isEmpty():
-        # Members of too large blocks meet where a second stratum agrees as well.
-        hot = placed.where(F.col("n") > most).select(*own, "key")
-        pair = F.transform(F.col("least"), lambda x, k: F.when(x.isNotNull() & (k != F.col("key.i")), F.struct(F.col("key.i").alias("i"), k.alias("k"), F.col("key.x").alias("x"), x.alias("y"))))
-        finer = cut(hot.join(nodes.select("doc", "fp", "least"), ["doc", "fp"]).select(*own, F.explode(F.filter(pair, lambda s: s.isNotNull())).alias("key")), "finer")
-        sized = finer.join(cut(count(finer), "sizes"), "key")
-        blocks = blocks.unionByName(sized.where(F.col("n") <= most).select(*own, "key", F.lit(0).alias("tile")))
-        # What is still too large is dealt into tiles, and every two tiles meet.
-        tiles = F.ceil(F.col("n") * 2 / most).cast("int")
-        dealt = sized.where(F.col("n") > most).select(*own, "key", tiles.alias("g"), F.pmod(F.xxhash64("doc"), tiles).cast("int").alias("a"))
-        other = dealt.select(*own, "key", "g", "a", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("b"))
-        met = F.least("a", "b") * F.col("g") + F.greatest("a", "b") + 1
-        blocks = blocks.unionByName(other.select(*own, "key", met.cast("int").alias("tile")))
+        hot = cut(placed.where(F.col("n") > most).select(*own, "key"), "hot")
+        led = cut(_leader_edges(hot, sets, threshold, most), "stars")
+        label = cut(led.unionByName(led.select(F.col("v").alias("u"), "v")).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")), "labels")
+        # Two members agree in one large block only (missed once in 12,000 at 0.8), or in two: where they agree in a small one they have met.
+        at = lambda side: hot.select("node", F.col("key.i").alias(side), F.col("key.x").alias(side * 2))
+        two = at("i").join(at("k"), "node").where("i < k")
+        finer = two.select("node", F.struct("i", "k", F.col("ii").alias("x"), F.col("kk").alias("y")).alias("key"))
+        finer = cut(finer.join(label, "node", "left"), "finer")
+        # Members with the commonest label of a block need no comparison with each other.
+        kinds = finer.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+        seen = cut(
+            kinds.groupBy("key")
+            .agg(F.sum("n").alias("n"), F.max(F.when(F.col("label").isNotNull(), F.struct("n", "label"))).alias("top"))
+            .select("key", "n", F.col("top.label").alias("top"), (F.col("n") - F.coalesce(F.col("top.n"), F.lit(0))).alias("rest"))
+            .where("n > 1 AND rest > 0"),
+            "rest",
+        )
+        sized = finer.join(seen, "key").select("node", "key", "n", "rest", (~F.col("label").eqNullSafe(F.col("top"))).alias("odd"))
+        small = sized.where(F.col("n") <= most).select("node", "key", F.lit(0).alias("tile"))
+        # Of what is too large, the rest and all are dealt to tiles, and each tile of the rest meets each of all.
+        large = sized.where(F.col("n") > most).withColumn("g", F.ceil(F.col("n") * 2 / most).cast("int")).withColumn("r", F.ceil(F.col("rest") * 2 / most).cast("int"))
+        spot = lambda salt, parts: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(parts)).cast("int")
+        upto = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+        met = large.select("node", "key", "g", upto("r").alias("a"), spot(1, "g").alias("b")).unionByName(
+            large.where("odd").select("node", "key", "g", spot(2, "r").alias("a"), upto("g").alias("b"))
+        )
+        tiled = met.select("node", "key", (F.col("a") * F.col("g") + F.col("b") + 1).cast("int").alias("tile")).distinct()
+        blocks = blocks.unionByName(small.unionByName(tiled).join(nodes.select(*own), "node").select(*own, "key", "tile"))
     members = cut(_alike(blocks.select(*own, F.xxhash64("key", "tile").alias("block")), threshold, radius), "alike")
-    loaded = members.join(sets.select("doc", "fp", "bins", "shingles"), "doc")
+    loaded = members.join(sets.select("node", "fp", "bins", "shingles"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, doc, fp, bins, raw in _in_blocks(batches, 5):
+        for _, node, fp, bins, raw in _in_blocks(batches, 5):
             shingles = [np.frombuffer(x, np.uint32) for x in raw]
-            u, v = _verified(np.array(doc, np.int64), np.array(fp, np.int64), bins_of(bins), shingles, threshold, radius)
+            u, v = _verified(np.array(node, np.int64), np.array(fp, np.int64), bins_of(bins), shingles, threshold, radius)
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
-    grouped = loaded.select("block", "doc", "fp", "bins", "shingles").repartition("block").sortWithinPartitions("block", "doc")
-    return grouped.mapInArrow(run, "u bigint, v bigint")
+    grouped = loaded.select("block", "node", "fp", "bins", "shingles").repartition("block").sortWithinPartitions("block", "node")
+    edges = grouped.mapInArrow(run, "u bigint, v bigint")
+    return edges if led is None else edges.unionByName(led)
 
 
-def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, radius: int = 20) -> DataFrame:
-    """(doc_id, component_id) of each doc_id: the least doc_id that links of that similarity reach."""
+def _similar(docs: DataFrame, size: int, threshold: float, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The written rows of ``sketches``, and for each shingle set (same, node, top, component): its least row, its row of least doc_id and its component."""
     rows = cut(sketches(docs, size), "sketches")
-    first = rows.groupBy("same").agg(F.min("doc").alias("node"))
-    names = cut(rows.select("doc", "same").join(first, "same").select("doc", "same", "node").distinct(), "names")
-    chosen = names.where("doc = node").select("doc", "same")
-    nodes = cut(rows.select("doc", "same", "fp", "least", "size", "bins").join(chosen, ["doc", "same"], "left_semi").dropDuplicates(["doc", "same"]).drop("same"), "nodes")
-    edges = similar_edges(nodes, rows, threshold, radius)
-    found = components(edges.unionByName(names.select(F.col("doc").alias("u"), F.col("node").alias("v"))))
-    null = lambda c: F.when(F.col(c) != _LAST, F.col(c))
-    return rows.select("doc").distinct().join(found.withColumnRenamed("node", "doc"), "doc", "left").select(
-        null("doc").alias("doc_id"), F.coalesce(null("component"), null("doc")).alias("component_id")
-    )
-
-
-def one_of_each(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` whose doc_id stands for its group: the least one."""
-    groups = similar_groups(docs, size, threshold)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_hd_id"))
-    same = docs["doc_id"].cast("bigint").eqNullSafe(gone["_hd_id"])
-    return docs.join(gone, same, "left_anti")
+    top = F.min(F.struct(F.col("doc").isNull().alias("null"), "doc", "row"))
+    classes = cut(rows.groupBy("same").agg(F.min("row").alias("node"), top.alias("top")), "classes")
+    nodes = cut(rows.select(F.col("row").alias("node"), "fp", "least", "size", "bins").join(classes.select("node"), "node"), "nodes")
+    sets = rows.select(F.col("row").alias("node"), "fp", "bins", "shingles")
+    found = components(similar_edges(nodes, sets, threshold, radius))
+    label = classes.join(found, "node", "left").select("same", "node", "top", F.coalesce("component", "node").alias("component"))
+    return rows, cut(label, "label")
+
+
+def similar_groups(docs: DataFrame, size: int = 5, threshold: float = 0.8, radius: int = 20) -> DataFrame:
+    """(doc_id, component_id) of each row: the least doc_id that links of that similarity reach."""
+    rows, label = _similar(docs, size, threshold, radius)
+    named = label.groupBy("component").agg(F.min("top").alias("top"))
+    told = label.join(named.select("component", F.col("top.doc").alias("component_id")), "component").select("same", "component_id")
+    return rows.select("doc", "same").join(told, "same").select(F.col("doc").alias("doc_id"), "component_id")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, threshold: float = 0.8, radius: int = 20) -> DataFrame:
+    """One row of each group of ``docs``, one of least doc_id, with all columns."""
+    rows, label = _similar(docs, size, threshold, radius)
+    stays = label.groupBy("component").agg(F.min("top").alias("top")).select(F.col("top.row").alias("row"), F.lit(1).alias("stays"))
+    told = rows.select("row", "key").join(stays, "row", "left").select("key", F.coalesce("stays", F.lit(0)).alias("keep"))
+    return keep_rows(docs, told)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
