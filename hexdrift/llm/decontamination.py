@@ -1,13 +1,15 @@
 """Benchmark decontamination under edit distance.
 
-A document is contaminated by an item if one of its windows of as many words as
-the item has is at word edit distance ``(1 - similarity)`` of that length or
-less. Windows and items are embedded by CGK random walks, which turn edit
-distance into Hamming distance; sampled positions of the embedding form the keys
-of several locality-sensitive hash tables, and what shares a key is verified by
-exact edit distance. The number of walks and samples is set so that a window at
-the allowed distance is missed less often than ``1 - recall``, as the tests
-measure against brute force.
+A document is contaminated by an item of n words if one of its windows of n words is at
+word edit distance ``(1 - similarity) n`` or less; a document of fewer words is one window.
+Windows and items are embedded by CGK random walks, which turn edit distance into Hamming
+distance: a walk emits the word it stands at and moves on if a random bit of step and word says
+so, over 3 n steps. Half of the walks start at the window's end, so that edits gathered at
+one side leave the other side's walks alone. Sampled steps of the first 2 n form the keys of
+several locality-sensitive hash tables (what comes later is mostly beyond the end), and
+what shares a key is verified by exact edit distance. ``WALKS``, ``TABLES`` and ``SAMPLES`` are such that
+at the allowed distance itself at least 95 of 100 windows are found, wherever the edits lie; the tests measure it
+by brute force for items of 10 to 130 words.
 
 Before any walk, windows are ruled out that contain too few word pairs of the
 benchmark: an edit touches two pairs at most, so a window within k edits of an item
@@ -16,14 +18,15 @@ repeat a few words over and over: an edit takes away one kind of word at most.
 Before exact verification words are compared as multisets. None of this loses
 anything.
 
-The benchmark is the stated query set. It is searched in blocks of
-``BLOCK_ITEMS`` items, each broadcast on its own, so its size is bounded
-whatever the benchmark's.
+The benchmark is the stated query set. It is read in blocks of at most ``BLOCK_ITEMS`` items and
+about ``BLOCK_WORDS`` words. A single block is broadcast once; of several, each is searched for and
+its broadcast destroyed before the next is read, so that memory is bounded whatever the benchmark's size.
 
 Defined results: null and empty texts match nothing, and items without words are
-not looked for. Equal items are all reported. Repeated documents are reported
-once for each doc_id; a null doc_id is reported as null. An empty input or benchmark
-gives an empty result. Texts of any length are read whole. Other columns are not looked at.
+not looked for. Equal items are all reported. ``contamination`` reports repeated documents
+once for each doc_id, a null doc_id as null; ``uncontaminated`` decides on every row by its own text,
+whatever its doc_id. An empty input or benchmark gives an empty result or drops nothing. Texts of any
+length are read whole. Other columns are not looked at and kept as they are.
 """
 
 from __future__ import annotations
@@ -35,12 +38,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import cut, documents, slices, text_column, words
 
 SIMILARITY = 0.8
-WALKS, TABLES, SAMPLES = 5, 4, 3
-BLOCK_ITEMS = 10_000
+WALKS, TABLES, SAMPLES = 8, 6, 2
+BLOCK_ITEMS, BLOCK_WORDS = 10_000, 2_000_000
+#: Sizes up to this times the least one are walked together.
+SPREAD = 1.25
 NEAR = 6
 #: Windows walked together.
 RUN = 1 << 17
@@ -93,39 +99,43 @@ class Block:
         pairs = [seq[:-1] * self.width + seq[1:] for _, seq in self.items]
         self.grams = np.unique(np.concatenate([np.array([-1]), *pairs]))
         self.allowed = {n: int((1 - similarity) * n + 1e-9) for n in self.by_size}
-        #: Sizes between two powers of two are walked together, over twice the lower power.
+        #: Groups of sizes that are walked together, by the least one.
         self.groups: dict[int, list[int]] = {}
         for n in sorted(self.by_size):
-            self.groups.setdefault(2 << n.bit_length() - 1, []).append(n)
-        steps = max(self.groups, default=1)
+            low = next(reversed(self.groups), None)
+            self.groups.setdefault(low if low and n <= SPREAD * low else n, []).append(n)
+        steps = 3 * max(self.by_size, default=1)
         #: In walk r, step j: a word moves the walk on if its bit is set.
         codes = np.arange(len(self.vocabulary) + 1)
         self.moves = [[(_mix(codes, r * steps + j) & np.uint64(1)).astype(np.int8) for j in range(steps)] for r in range(walks)]
         self.tables: dict[int, dict[int, list[int]]] = {}
-        for steps, sizes in self.groups.items():
+        for low, sizes in self.groups.items():
             own = [i for n in sizes for i in self.by_size[n]]
             size = np.array([len(self.items[i][1]) for i in own])
             table: dict[int, set[int]] = {}
-            for key in self.keys(np.concatenate([self.items[i][1] for i in own]), np.cumsum(size) - size, size, steps):
+            for key in self.keys(np.concatenate([self.items[i][1] for i in own]), np.cumsum(size) - size, size, size, low):
                 for i, k in zip(own, key.tolist(), strict=True):
                     table.setdefault(k, set()).add(i)
-            self.tables[steps] = {k: sorted(v) for k, v in table.items()}
+            self.tables[low] = {k: sorted(v) for k, v in table.items()}
         self.sorted_keys = {n: np.array(sorted(t), np.uint64) for n, t in self.tables.items()}
 
-    def keys(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray, steps: int) -> Iterator[np.ndarray]:
-        """The hash keys of windows of ``size`` words at ``start``, one array a table; a key holds the size, too."""
-        last = start + size - 1
+    def keys(self, codes: np.ndarray, start: np.ndarray, length: np.ndarray, size: np.ndarray, low: int) -> Iterator[np.ndarray]:
+        """The hash keys of windows of ``length`` words at ``start``, one array a table; a key holds the item's size, too."""
+        last = start + length - 1
         for r in range(self.walks):
-            rng = np.random.default_rng([steps, r])
-            tables = [np.sort(rng.choice(steps, min(self.samples, steps), replace=False)) for _ in range(TABLES)]
+            rng = np.random.default_rng([low, r])
+            tables = [np.sort(rng.choice(2 * low, min(self.samples, 2 * low), replace=False)) for _ in range(TABLES)]
             wanted = set(np.concatenate(tables).tolist())
-            at = start.copy()
+            back = r % 2 == 1
+            at = last.copy() if back else start.copy()
             seen = {}
             for j in range(max(wanted) + 1):
-                word = np.where(at <= last, codes[np.minimum(at, last)], 0)
+                inside = at >= start if back else at <= last
+                word = np.where(inside, codes[np.clip(at, start, last)], 0)
                 if j in wanted:
                     seen[j] = word
-                at += self.moves[r][j][word]
+                step = self.moves[r][j][word]
+                at += -step if back else step
             for t, picks in enumerate(tables):
                 key = _mix(size, TABLES * r + t)
                 for j in picks.tolist():
@@ -148,34 +158,41 @@ class Block:
         kinds = np.concatenate([[0], np.cumsum(fresh, dtype=np.int32)])
         room = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(codes))  # words left in the document
         owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        for steps, sizes in self.groups.items():
-            starts, lengths = [], []
+        begin = ends - np.diff(ends, prepend=0)
+        held = ends - begin
+        for low, sizes in self.groups.items():
+            starts, widths, lengths = [], [], []
+            # What is poor over the widest window of a group is poor over all of its windows.
+            top = min(sizes[-1], len(codes))
+            until = np.minimum(np.arange(len(codes)) + top - 1, len(codes) - 1)
+            least = min(n - 1 - 2 * self.allowed[n] for n in sizes)
+            maybe = np.flatnonzero(known[until] - known >= least) if len(codes) else np.zeros(0, np.int64)
             for n in sizes:
-                if n > len(codes):
-                    continue
-                rich = np.flatnonzero(known[n - 1 :] - known[: len(codes) - n + 1] >= n - 1 - 2 * self.allowed[n])
-                rich = rich[(room[rich] >= n) & (kinds[rich + n] - kinds[rich] + NEAR >= self.kinds[n] - self.allowed[n])]
-                starts.append(rich)
-                lengths.append(np.full(len(rich), n))
-            if not starts:
-                continue
-            start, size = np.concatenate(starts), np.concatenate(lengths)
-            table, listed = self.tables[steps], self.sorted_keys[steps]
+                own = maybe[room[maybe] >= n]
+                own = own[known[own + n - 1] - known[own] >= n - 1 - 2 * self.allowed[n]]
+                own = own[kinds[own + n] - kinds[own] + NEAR >= self.kinds[n] - self.allowed[n]]
+                short = np.flatnonzero((held < n) & (held >= max(1, n - self.allowed[n])))
+                short = short[known[ends[short] - 1] - known[begin[short]] >= n - 1 - 2 * self.allowed[n]]
+                starts += [own, begin[short]]
+                widths += [np.full(len(own), n), held[short]]
+                lengths.append(np.full(len(own) + len(short), n))
+            start, width, size = np.concatenate(starts), np.concatenate(widths), np.concatenate(lengths)
+            table, listed = self.tables[low], self.sorted_keys[low]
             for a in range(0, len(start), RUN):
-                own, n = start[a : a + RUN], size[a : a + RUN]
-                pairs: set[tuple[int, int, int]] = set()
-                for key in self.keys(codes, own, n, steps):
+                own, wide, n = start[a : a + RUN], width[a : a + RUN], size[a : a + RUN]
+                pairs: set[tuple[int, int, int, int]] = set()
+                for key in self.keys(codes, own, wide, n, low):
                     at = np.minimum(np.searchsorted(listed, key), len(listed) - 1)
                     for k in np.flatnonzero(listed[at] == key).tolist():
                         s = int(own[k])
-                        pairs.update((int(owner[s]), i, s) for i in table[int(key[k])])
-                for doc, i, s in sorted(pairs):
+                        pairs.update((int(owner[s]), i, s, int(wide[k])) for i in table[int(key[k])])
+                for doc, i, s, m in sorted(pairs):
                     seq, bag = self.items[i][1], self.bags[i]
                     limit = self.allowed[len(seq)]
                     best = found.get((doc, i))
                     if best is not None:
                         limit = min(limit, best[0])
-                    window = codes[s : s + len(seq)]
+                    window = codes[s : s + m]
                     if (Counter(window.tolist()) & bag).total() < len(seq) - limit:
                         continue
                     d = edit_distance(seq, window, limit)
@@ -184,49 +201,76 @@ class Block:
         return found
 
 
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of bounded size; one empty block if there are none."""
+    block: list[tuple[int, str]] = []
+    held = n = 0
+    for row in benchmark.select(benchmark["item_id"].cast("bigint").alias("item_id"), text_column(benchmark).alias("text")).toLocalIterator():
+        size = len(words(row[1]))
+        if block and (len(block) == BLOCK_ITEMS or held + size > BLOCK_WORDS):
+            yield block
+            block, held, n = [], 0, n + 1
+        block.append((row[0], row[1]))
+        held += size
+    if block or not n:
+        yield block
+
+
+def _searched(sent, texts: pa.Array) -> Iterator[tuple[int, int, int, int, int]]:
+    """(row, item, distance, words, first word) of everything found in a batch of texts."""
+    own = sent.value
+    code = own.vocabulary.get
+    for a, b in slices((len(t.as_py()) for t in texts), PIECE):
+        codes, ends = [], []
+        for t in texts.slice(a, b - a):
+            codes += [code(w, 0) for w in words(t.as_py())]
+            ends.append(len(codes))
+        if not codes:
+            continue
+        bounds = np.array([0, *ends])
+        for (k, i), (d, s) in own.search(np.array(codes, np.int64), bounds[1:]).items():
+            item, seq = own.items[i]
+            yield a + k, item, d, len(seq), s - int(bounds[k])
+
+
+def _by_block(benchmark: DataFrame, similarity: float, walks: int, samples: int, look, name: str, carry: bool) -> DataFrame | None:
+    """``look(block, frame)`` of every block; frames of several blocks are written one after the other."""
+    spark = benchmark.sparkSession
+    blocks = _blocks(benchmark)
+    block = next(blocks)
+    found: list[DataFrame] = []
+    while block is not None:
+        then = next(blocks, None)
+        sent = spark.sparkContext.broadcast(Block(block, similarity, walks, samples))
+        frame = look(sent, found[-1] if carry and found else None)
+        if then is None and not found:
+            return frame
+        found.append(cut(frame, name))
+        sent.destroy()
+        block = then
+    out = found[-1] if carry else found[0]
+    for f in [] if carry else found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, walks: int = WALKS, samples: int = SAMPLES) -> DataFrame:
     """A row for each document and item found in it: doc_id, item_id, distance, n_words, first_word, similarity."""
-    spark = docs.sparkSession
     slim = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_column(docs).alias("text"))
     schema = "doc_id bigint, item_id bigint, distance int, n_words int, first_word bigint"
-    items = benchmark.select(benchmark["item_id"].cast("bigint").alias("item_id"), text_column(benchmark).alias("text"))
-    blocks: list[DataFrame] = []
-    block: list[tuple[int, str]] = []
-
-    def look(block: list[tuple[int, str]]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(Block(block, similarity, walks, samples))
 
+    def look(sent, _) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = sent.value
-            code = own.vocabulary.get
             for batch in batches:
-                out: list[list] = [[], [], [], [], []]
-                texts, ids = batch.column(1), batch.column(0).to_pylist()
-                for a, b in slices((len(t.as_py()) for t in texts), PIECE):
-                    codes, ends = [], []
-                    for t in texts.slice(a, b - a):
-                        codes += [code(w, 0) for w in words(t.as_py())]
-                        ends.append(len(codes))
-                    bounds = np.array([0, *ends])
-                    for (k, i), (d, s) in own.search(np.array(codes, np.int64), bounds[1:]).items():
-                        item, seq = own.items[i]
-                        for col, x in zip(out, (ids[a + k], item, d, len(seq), s - int(bounds[k])), strict=True):
-                            col.append(x)
+                ids = batch.column(0).to_pylist()
+                rows = [(ids[k], item, d, n, s) for k, item, d, n, s in _searched(sent, batch.column(1))]
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["doc_id", "item_id", "distance", "n_words", "first_word"])
+                cols = zip(*rows, strict=True) if rows else [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)], ["doc_id", "item_id", "distance", "n_words", "first_word"])
 
         return slim.mapInArrow(run, schema)
 
-    for row in items.toLocalIterator():
-        block.append((row[0], row[1]))
-        if len(block) == BLOCK_ITEMS:
-            blocks.append(look(block))
-            block = []
-    if block or not blocks:
-        blocks.append(look(block))
-    hits = blocks[0]
-    for b in blocks[1:]:
-        hits = hits.unionByName(b)
+    hits = _by_block(benchmark, similarity, walks, samples, look, "contaminated", False)
     best = hits.groupBy("doc_id", "item_id", "n_words").agg(F.min(F.struct("distance", "first_word")).alias("b"))
     return best.select(
         "doc_id",
@@ -240,9 +284,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns."""
-    hits = contamination(docs, benchmark, similarity).select(F.col("doc_id").alias("_hd_id")).distinct()
-    hits = cut(hits, "contaminated")
-    return docs.join(hits, docs["doc_id"].cast("bigint").eqNullSafe(hits["_hd_id"]), "left_anti")
+    names = docs.columns
+
+    def look(sent, kept: DataFrame | None) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                for k, *_ in _searched(sent, batch.column(0)):
+                    clean[k] = False
+                yield pa.RecordBatch.from_arrays([batch.column(1).filter(pa.array(clean))], ["row"])
+
+        frame = docs if kept is None else kept
+        packed = frame.select(text_column(frame).alias("text"), F.struct(*[frame[f"`{c}`"] for c in names]).alias("row"))
+        rows = packed.mapInArrow(run, StructType([packed.schema["row"]]))
+        return rows.select(*[F.col("row").getField(c).alias(c) for c in names])
+
+    return _by_block(benchmark, similarity, WALKS, SAMPLES, look, "clean", True)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
