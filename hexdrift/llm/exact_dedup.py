@@ -2,15 +2,19 @@
 
 The index is a table bucketed and sorted by digest. A batch is reduced to one
 row per digest, anti-joined with the index by sort-merge (the index side needs
-no shuffle) and what is new is appended. Everything is DataFrame code.
+no shuffle) and what is new is appended. Everything is DataFrame code. The number of buckets follows
+from the batch that makes the table, one for ``BUCKET_ROWS`` digests. Appends add files
+to the buckets, so Spark sorts a bucket again when it is joined, which is a merge of sorted runs; ``compact`` makes
+them one file each.
 
 Defined results: a null text counts as empty, so all null and empty texts are
 one group. A null doc_id ranks below every other. If a row occurs several times
 with the same doc_id and text, exactly one occurrence is kept. An empty input
 gives an empty result. Columns other than doc_id and text are not looked at.
 
-A batch may be ingested again after a crash: the index remembers which doc_id
-stands for a digest, so the same rows get the same answers.
+A batch may be ingested again after a crash: the index remembers the batch and doc_id that
+stand for a digest, so the rows of a batch of the same name get the same answers. Rows of other batches with
+that text go, whatever their doc_id, null included.
 """
 
 from __future__ import annotations
@@ -22,40 +26,65 @@ from pyspark.sql import functions as F
 
 from .common import cut, documents, keep_rows, row_key, text_column
 
-BUCKETS = 32
+BUCKET_ROWS, LEAST_BUCKETS = 4_000_000, 32
 
 
 class DigestIndex:
-    """Digests seen so far, each with the doc_id that stands for it."""
+    """Digests seen so far, each with the batch and doc_id that stand for it."""
 
-    def __init__(self, spark: SparkSession, table: str, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, table: str, buckets: int | None = None):
         self.spark, self.table, self.buckets = spark, table, buckets
 
-    def _append(self, rows: DataFrame) -> None:
+    def _write(self, rows: DataFrame, table: str, buckets: int) -> None:
         (
-            rows.repartition(self.buckets, "digest")
+            rows.repartition(buckets, "digest")
             .write.mode("append")
-            .bucketBy(self.buckets, "digest")
+            .bucketBy(buckets, "digest")
             .sortBy("digest")
             .format("parquet")
-            .saveAsTable(self.table)
+            .saveAsTable(table)
         )
 
-    def read(self) -> DataFrame:
+    def _append(self, rows: DataFrame) -> None:
+        self._write(rows, self.table, self._buckets(0))
+
+    def _buckets(self, rows: int) -> int:
+        """Buckets of the table, or of one to be made for ``rows`` digests."""
+        if self.spark.catalog.tableExists(self.table):
+            told = {r[0]: r[1] for r in self.spark.sql(f"DESCRIBE EXTENDED {self.table}").collect()}
+            return int(told["Num Buckets"])
+        return self.buckets or max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+
+    def read(self, rows: int = 0) -> DataFrame:
+        """The index; made for ``rows`` digests if there is none."""
         if not self.spark.catalog.tableExists(self.table):
-            self._append(self.spark.createDataFrame([], "digest binary, index_id bigint"))
+            if self.spark.catalog.tableExists(self._next):  # a crash between the two last steps of compact
+                self.spark.sql(f"ALTER TABLE {self._next} RENAME TO {self.table}")
+            else:
+                empty = self.spark.createDataFrame([], "digest binary, index_id bigint, batch string")
+                self._write(empty, self.table, self._buckets(rows))
         return self.spark.table(self.table)
 
+    @property
+    def _next(self) -> str:
+        return f"{self.table}_next"
+
     def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        for table in (self.table, self._next):
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
     def compact(self) -> None:
-        """Rewrite the buckets as one sorted file each, after many appends."""
-        rows = cut(self.read(), "compact")
-        self.drop()
-        self._append(rows)
+        """Rewrite the buckets as one sorted file each, after many appends.
+
+        The new table is whole before the old one goes, and ``read`` finishes a rewrite that was cut short.
+        """
+        rows = self.read()
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._next}")
+        self._write(rows, self._next, self._buckets(0))
+        self.spark.sql(f"DROP TABLE {self.table}")
+        self.spark.sql(f"ALTER TABLE {self._next} RENAME TO {self.table}")
 
-    def ingest(self, docs: DataFrame) -> DataFrame:
+    def ingest(self, docs: DataFrame, batch: str = "") -> DataFrame:
         """Append the batch's new digests; return doc_id, keep_id, group_size, kept, digest per row."""
         keyed = cut(
             docs.select(
@@ -69,15 +98,13 @@ class DigestIndex:
             F.max(F.struct("doc_id", "row_id")).alias("top"), F.count(F.lit(1)).alias("group_size")
         )
         groups = cut(groups, "groups")
-        seen = self.read().select("digest")
+        seen = self.read(groups.count()).select("digest")
         fresh = groups.join(seen.hint("merge"), "digest", "left_anti")
-        self._append(fresh.select("digest", F.col("top.doc_id").alias("index_id")))
+        self._append(fresh.select("digest", F.col("top.doc_id").alias("index_id"), F.lit(batch).alias("batch")))
+        own = (F.col("batch") == batch) & F.col("index_id").eqNullSafe(F.col("top.doc_id"))
         decided = cut(
             groups.join(self.read().hint("merge"), "digest").select(
-                "digest",
-                "group_size",
-                F.col("index_id").alias("keep_id"),
-                F.when(F.col("index_id").eqNullSafe(F.col("top.doc_id")), F.col("top.row_id")).alias("kept_row"),
+                "digest", "group_size", F.col("index_id").alias("keep_id"), F.when(own, F.col("top.row_id")).alias("kept_row")
             ),
             "decided",
         )

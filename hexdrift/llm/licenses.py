@@ -8,14 +8,15 @@ coefficient of sets of sizes a and b is 2 min(a, b) / (a + b) at most, and
 templates beyond that bound are not compared. Nor are places where too few bigrams
 occur in the template at all, which is a bound from above of the common ones.
 
-Templates are given as a table of at most ``MOST_TEMPLATES`` rows; the default
-ones are wordings in which public licences are commonly granted.
+Templates are given as a table (license_id, text) or a list; it is the stated query set and is broadcast as a sparse index, whose
+size follows from that of the templates alone. The default ones are wordings in which public licences are commonly
+granted, and the texts of short licences.
 
 Defined results: null and empty texts, and texts of one word, match nothing;
 templates of one word are not looked for. The best place of each template in a
-document is reported, the first on a tie; of overlapping places of different
-templates only the best. Repeated rows are reported once for
-each doc_id. An empty input gives an empty result. Texts are read whole; other columns are
+document is found, the first on a tie; of overlapping places of different
+templates only the best counts, and of a licence's templates the best. Every row is reported on its own: repeated rows
+each time, a null doc_id as null. An empty input gives an empty result. Texts are read whole; other columns are
 not looked at.
 """
 
@@ -27,14 +28,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import documents, slices, text_column, words
 
 THRESHOLD = 0.8
-MOST_TEMPLATES = 10_000
 
-#: Identifiers and grant wordings of public licences.
+#: Identifiers and wordings of public licences.
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_BSD_TWO = "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -46,7 +48,11 @@ TEMPLATES = [
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-2-Clause", f"{_BSD} {_BSD_TWO}"),
+    ("BSD-3-Clause", f"{_BSD} {_BSD_TWO} {_BSD_THIRD}"),
+    ("BSD", _BSD),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
@@ -69,8 +75,6 @@ class Templates:
     """Bigrams of all templates, ready to be looked for."""
 
     def __init__(self, templates: list[tuple[str, str]], threshold: float):
-        if len(templates) > MOST_TEMPLATES:
-            raise ValueError(f"more than {MOST_TEMPLATES} templates")
         self.threshold = threshold
         self.code: dict[bytes, int] = {}
         self.names: list[str] = []
@@ -84,7 +88,11 @@ class Templates:
         pairs = sorted({p for b in self.bags for p in b})
         self.width = len(self.code) + 1
         self.pairs = np.array([a * self.width + b for a, b in pairs] or [0], np.int64)
-        self.member = np.array([[p in b for p in pairs] for b in self.bags], bool).reshape(len(self.bags), -1)
+        #: Templates that have each pair, one pair after the other.
+        place = {p: i for i, p in enumerate(pairs)}
+        have = sorted((place[p], t) for t, b in enumerate(self.bags) for p in b)
+        self.holders = np.array([t for _, t in have], np.int64)
+        self.bounds = np.searchsorted(np.array([i for i, _ in have], np.int64), np.arange(len(pairs) + 1))
 
     def scan(self, codes: np.ndarray) -> list[tuple[int, float, int, int]]:
         """(template, dice, first word, words) of each template found, at its best place."""
@@ -94,16 +102,21 @@ class Templates:
         if not len(hits):
             return []
         kind, found = at[hits], []
-        present = self.member[:, kind]
         total = len(grams)
-        common = present.sum(axis=1)
-        for t in np.flatnonzero(common > 0).tolist():
+        # Each hit once for every template that has its pair, in order of the templates, then of the places.
+        many = self.bounds[kind + 1] - self.bounds[kind]
+        at = np.repeat(self.bounds[kind], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        holder, where = self.holders[at], np.repeat(hits, many)
+        order = np.argsort(holder, kind="stable")
+        where, common = where[order], np.bincount(holder, minlength=len(self.bags))
+        until = np.cumsum(common)
+        for t in np.flatnonzero(common).tolist():
             n = int(self.sizes[t])
             size = min(n, total)
             need = self.threshold * (n + size) / 2
             if min(n, size) < need or common[t] < need:
                 continue
-            own = hits[present[t]]
+            own = where[until[t] - common[t] : until[t]]
             # A window can be moved on to its first member without losing any, unless it then passes the end.
             start = np.unique(np.minimum(own, total - size))
             inside = np.searchsorted(own, start + size) - np.searchsorted(own, start)
@@ -123,9 +136,11 @@ class Templates:
         return kept
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, templates: list[tuple[str, str]] | DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """A row for each document and licence found in it: doc_id, license_id, dice, first_word, n_words."""
     spark = docs.sparkSession
+    if isinstance(templates, DataFrame):
+        templates = [(r[0], r[1] or "") for r in templates.select("license_id", "text").toLocalIterator()]
     sent = spark.sparkContext.broadcast(Templates(TEMPLATES if templates is None else templates, threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,17 +155,18 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
                     if len(split) < 2:
                         continue
                     codes = np.fromiter((code(w, 0) for w in split), np.int64, len(split))
+                    best: dict[str, tuple[float, int, int]] = {}
                     for t, d, s, n in own.scan(codes):
-                        for col, x in zip(out, (doc, own.names[t], d, s, n), strict=True):
+                        name = own.names[t]
+                        best[name] = max(best.get(name, (0.0, 0, 0)), (d, -s, -n))
+                    for name, (d, s, n) in best.items():
+                        for col, x in zip(out, (doc, name, d, -s, -n), strict=True):
                             col.append(x)
             kinds = (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["doc_id", "license_id", "dice", "first_word", "n_words"])
 
     slim = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_column(docs).alias("text"))
-    hits = slim.mapInArrow(run, "doc_id bigint, license_id string, dice double, first_word bigint, n_words bigint")
-    order = F.struct("dice", (-F.col("first_word")).alias("f"), (-F.col("n_words")).alias("n"))
-    best = hits.groupBy("doc_id", "license_id").agg(F.max(order).alias("b"))
-    return best.select("doc_id", "license_id", F.col("b.dice").alias("dice"), (-F.col("b.f")).alias("first_word"), (-F.col("b.n")).alias("n_words"))
+    return slim.mapInArrow(run, "doc_id bigint, license_id string, dice double, first_word bigint, n_words bigint")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,11 +6,11 @@ of all parts are merged; what two parts' once-seen filters share counts as seen
 twice. Only keys that the twice-seen filter holds can repeat, so only those are
 shuffled, as 128-bit digests, for exact counting and for the choice of the
 document that keeps the line. A false positive of the filter costs a shuffled
-row and changes no result; a filter that is too small for its input therefore
-only shuffles more.
+row and changes no result. Keys are told apart by 128 bits of xxh3, not by their text.
 
-The filters have a fixed size, at most 2 x 32 MB by default however large the
-input; that bounds what is broadcast.
+A filter has at most ``MOST_BITS`` bits, which bounds what is broadcast. Where that is too little for the lines of the input, hashes are
+cut into as many equal ranges as need be, and each range in turn gets filters of its own, built from and
+held against the written digests. The filters thus never fill up, however large the input.
 
 Defined results: a null text is one empty line, as is an empty one. A null
 doc_id counts as a document of its own that ranks below all others. Rows with
@@ -34,7 +34,7 @@ from .common import cut, documents, text_column
 LEAST_CHARS = 20
 LEAST_DOCS = 3
 #: Bits of each filter: at most this many; fewer for small inputs.
-MOST_BITS = 1 << 28
+MOST_BITS = 1 << 30
 PROBES = 3
 CHUNK = 1 << 20
 _NULL = -(1 << 63)
@@ -68,14 +68,11 @@ def _insert(bitmap: np.ndarray, places: np.ndarray) -> None:
         np.bitwise_or.at(bitmap, p >> np.uint64(3), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8))
 
 
-def _hash_pass(docs: DataFrame, bits: int, least: int) -> DataFrame:
-    """Rows (doc, digests) for each document with long lines, and filter chunks (chunk, once, twice) of each part."""
+def _hash_pass(docs: DataFrame, least: int) -> DataFrame:
+    """Rows (doc, digests) for each document with long lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         digest = xxhash.xxh3_128_digest
-        schema = pa.schema([("doc", pa.int64()), ("digests", pa.binary()), ("chunk", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
-        used = False
         for batch in batches:
             doc_ids, found = [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -84,24 +81,36 @@ def _hash_pass(docs: DataFrame, bits: int, least: int) -> DataFrame:
                 if own:
                     doc_ids.append(doc)
                     found.append(b"".join(map(digest, own)))
-            if not found:
-                continue
-            used = True
-            hashes = np.frombuffer(b"".join(found), np.uint64)[::2]
-            value, times = np.unique(hashes, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(found, pa.binary())], ["doc", "digests"])
+
+    return docs.mapInArrow(run, "doc bigint, digests binary")
+
+
+def _in_range(hashes: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """Whether a hash lies in a range, by bits that the filter's places do not start from."""
+    return (hashes >> np.uint64(40)) % np.uint64(parts) == np.uint64(part)
+
+
+def _filters(hashed: DataFrame, bits: int, part: int, parts: int) -> DataFrame:
+    """Filter chunks (chunk, once, twice) of the hashes of a range, of each part of the table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        used = False
+        for batch in batches:
+            hashes = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)[::2]
+            value, times = np.unique(hashes[_in_range(hashes, part, parts)], return_counts=True)
             places = _places(value, bits)
             _insert(twice, places[:, (times > 1) | _holds(once, places)])
             _insert(once, places)
-            none = pa.nulls(len(found), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(found, pa.binary()), pa.nulls(len(found), pa.int32()), none, none], schema=schema)
-        if used:
-            for c in range(0, bits // 8, CHUNK):
-                a, b = once[c : c + CHUNK], twice[c : c + CHUNK]
-                if a.any():
-                    raw = [pa.compress(x.tobytes(), "zstd", asbytes=True) for x in (a, b)]
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([c // CHUNK], pa.int32()), pa.array(raw[:1], pa.binary()), pa.array(raw[1:], pa.binary())], schema=schema)
+            used |= len(value) > 0
+        for c in range(0, bits // 8 if used else 0, CHUNK):
+            a, b = once[c : c + CHUNK], twice[c : c + CHUNK]
+            if a.any():
+                raw = [pa.compress(x.tobytes(), "zstd", asbytes=True) for x in (a, b)]
+                yield pa.RecordBatch.from_arrays([pa.array([c // CHUNK], pa.int32()), pa.array(raw[:1], pa.binary()), pa.array(raw[1:], pa.binary())], ["chunk", "once", "twice"])
 
-    return docs.mapInArrow(run, "doc bigint, digests binary, chunk int, once binary, twice binary")
+    return hashed.select("digests").mapInArrow(run, "chunk int, once binary, twice binary")
 
 
 def _merged(parts: DataFrame, bits: int) -> np.ndarray:
@@ -139,34 +148,43 @@ def _merged(parts: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def line_dedup(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, bits: int | None = None) -> DataFrame:
-    """doc_id, n_lines, n_dropped and the kept text of each row."""
-    spark = docs.sparkSession
-    slim = docs.select(
-        F.coalesce(docs["doc_id"].cast("bigint"), F.lit(_NULL)).alias("doc"), text_column(docs).alias("text")
-    )
-    if bits is None:
-        lines = docs.count() * 64  # 64 long lines a document and 10 bits a line
-        bits = min(MOST_BITS, max(1 << 16, 1 << (10 * lines).bit_length()))
-    hashed = cut(_hash_pass(slim, bits, least_chars), "lines")
-    twice = spark.sparkContext.broadcast(pa.compress(_merged(hashed.where("chunk IS NOT NULL"), bits).tobytes(), "zstd", asbytes=True))
+def _suspects(hashed: DataFrame, twice, bits: int, part: int, parts: int) -> DataFrame:
+    """Rows (key, doc) of the digests of a range that the twice-seen filter holds."""
 
-    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = None
         for batch in batches:
             if bitmap is None:
                 bitmap = np.frombuffer(pa.decompress(twice.value, bits // 8, "zstd", asbytes=True), np.uint8)
             raw = batch.column(1).to_pylist()
-            n = np.array([len(x) // 16 for x in raw])
+            n = np.array([len(x) // 16 for x in raw], np.int64)
             all_of = np.frombuffer(b"".join(raw), np.uint64)
-            hit = np.flatnonzero(_holds(bitmap, _places(all_of[::2], bits)))
+            hit = np.flatnonzero(_holds(bitmap, _places(all_of[::2], bits)) & _in_range(all_of[::2], part, parts))
             keys = np.ascontiguousarray(all_of.reshape(-1, 2)[hit])
             doc = np.repeat(batch.column(0).to_numpy(), n)[hit]
             data = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(hit), [None, pa.py_buffer(keys.tobytes())])
             yield pa.RecordBatch.from_arrays([data.cast(pa.binary()), pa.array(doc, pa.int64())], ["key", "doc"])
 
-    rows = hashed.where("digests IS NOT NULL").select("doc", "digests")
-    suspected = cut(rows.mapInArrow(suspects, "key binary, doc bigint"), "suspects")
+    return hashed.mapInArrow(run, "key binary, doc bigint")
+
+
+def line_dedup(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, most_bits: int = MOST_BITS) -> DataFrame:
+    """doc_id, n_lines, n_dropped and the kept text of each row."""
+    spark = docs.sparkSession
+    slim = docs.select(
+        F.coalesce(docs["doc_id"].cast("bigint"), F.lit(_NULL)).alias("doc"), text_column(docs).alias("text")
+    )
+    hashed = cut(_hash_pass(slim, least_chars), "lines")
+    lines = hashed.agg(F.coalesce(F.sum(F.octet_length("digests")), F.lit(0))).first()[0] // 16
+    wanted = 1 << (10 * lines).bit_length()  # ten bits a line at least
+    bits = max(64, min(most_bits, max(1 << 16, wanted)))
+    parts = max(1, wanted // bits)
+    suspected = None
+    for part in range(parts):
+        twice = spark.sparkContext.broadcast(pa.compress(_merged(_filters(hashed, bits, part, parts), bits).tobytes(), "zstd", asbytes=True))
+        found = cut(_suspects(hashed, twice, bits, part, parts), "suspects")
+        twice.destroy()
+        suspected = found if suspected is None else suspected.unionByName(found)
     repeated = (
         suspected.groupBy("key")
         .agg(F.count_distinct("doc").alias("docs"), F.max("doc").alias("keeper"))

@@ -174,7 +174,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY
                 ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    ranked = rows.join(counts.drop("n"), ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before"))
+    # There is a row for each length and part, which grows with the input: never broadcast.
+    ranked = rows.join(counts.drop("n").hint("merge"), ["length", "part"]).withColumn("rank", F.col("rank") + F.col("before"))
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
         place, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
     )

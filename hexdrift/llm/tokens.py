@@ -9,7 +9,7 @@ at a word of their own and the footer has their sizes, so that blocks can be
 found, skipped and decoded with array operations.
 
 Defined results: a null text is empty and yields the end id only. Documents are
-written in ascending doc_id order, null first; repeated rows are written each
+written in ascending doc_id order, null first, those of one doc_id by their ids; repeated rows are written each
 time. An empty input gives no files and an empty result. Other columns are not
 looked at. A text of any length is encoded whole.
 """
@@ -28,12 +28,14 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, fresh_dir, slices, text_column
+from .common import cut, documents, fresh_dir, slices, text_column
 
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks kept in a worker's cache; it starts anew when full.
 CACHE = 1_000_000
 END_ID = 1
+#: Ids of a file take about this many bytes before they are packed.
+FILE_BYTES = 1 << 29
 
 
 def _byte_letters() -> dict[int, str]:
@@ -342,7 +344,22 @@ def write_tokens(docs: DataFrame, uri: str, partitions: int | None = None, vocab
     A file is written under a temporary name and renamed when whole, so that a
     task that runs again, or twice, leaves the same file.
     """
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, ids, counts in encoded(batch, vocabulary):
+                raw = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
+                wide = bool(len(raw)) and int(raw.max()) > 0xFFFF
+                raw = raw if wide else raw.astype("<u2")
+                size = raw.itemsize * (counts + 1)
+                offsets = pa.array(np.r_[0, np.cumsum(size)].astype(np.int64))
+                own = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, offsets.buffers()[1], pa.py_buffer(raw.tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(np.full(b - a, wide)), own.cast(pa.binary())], ["doc_id", "wide", "ids"])
+
+    # Ids are dealt rather than texts: some two bytes a token.
+    slim = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_column(docs).alias("text"))
+    rows = cut(slim.mapInArrow(encode, "doc_id bigint, wide boolean, ids binary"), "ids")
+    held = rows.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()[0]
+    n = partitions or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // FILE_BYTES))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
@@ -352,28 +369,24 @@ def write_tokens(docs: DataFrame, uri: str, partitions: int | None = None, vocab
         store, root = open_fs(uri)
         name = f"part-{TaskContext.get().partitionId():06d}.s8b"
         draft = f"{root}/.{name}-{uuid.uuid4().hex}"
-        writer, out, rows = None, None, 0
+        writer, out, count = None, None, 0
         for batch in batches:
-            for a, b, ids, counts in encoded(batch, vocabulary):
-                if writer is None:
-                    out = store.open_output_stream(draft)
-                    writer = Writer(out)
-                whole = np.insert(ids, np.cumsum(counts), end_id)
+            if writer is None and batch.num_rows:
+                out = store.open_output_stream(draft)
+                writer = Writer(out)
+            for a, b in slices((len(x.as_py()) for x in batch.column("ids")), 1 << 23):
+                parts = [np.frombuffer(x, "<u4" if w else "<u2") for w, x in zip(batch.column("wide").slice(a, b - a).to_pylist(), batch.column("ids").slice(a, b - a).to_pylist(), strict=True)]
                 key = batch.column("doc_id").slice(a, b - a)
-                writer.add(key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False), whole, counts + 1)
-                rows += b - a
+                whole = np.concatenate([x.astype(np.uint64) for x in parts])
+                writer.add(key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False), whole, np.array([len(x) for x in parts]))
+                count += b - a
         if writer is not None:
             total = writer.close()
             out.close()
             store.move(draft, f"{root}/{name}")
-            yield pa.RecordBatch.from_pydict({"name": [name], "rows": pa.array([rows], pa.int64()), "ids": pa.array([total], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"name": [name], "rows": pa.array([count], pa.int64()), "ids": pa.array([total], pa.int64())})
 
-    sorted_docs = (
-        docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_column(docs).alias("text"))
-        .repartitionByRange(n, "doc_id")
-        .sortWithinPartitions("doc_id")
-    )
-    files = sorted_docs.mapInArrow(write, "name string, rows bigint, ids bigint")
+    files = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(write, "name string, rows bigint, ids bigint")
     return sorted(tuple(r) for r in files.collect())  # one row a file
 
 

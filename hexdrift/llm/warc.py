@@ -11,7 +11,7 @@ the smallest page_id is a response; the others are revisit records without the
 payload that name it.
 
 Defined results: null html is an empty payload; a null url is written as
-``urn:page:<page_id>``. A null page_id ranks after all others and is written as
+``urn:page:<page_id>``. A null page_id ranks after all others, 2^63 - 1 included, and is written as
 an empty record name. If a page_id occurs several times with the same payload,
 its first occurrence counts as the response. An empty input gives no files and an empty
 result. Payloads of any length are written whole. Other columns are not looked at.
@@ -35,7 +35,8 @@ from .tokens import open_fs
 GAP, RUN = 1 << 16, 1 << 23
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
-_LAST = (1 << 63) - 1
+#: A read task is meant to have this many bytes of the archives, in runs of SPAN.
+READ, SPAN = 1 << 27, 1 << 22
 
 
 def digest32(payload: bytes) -> str:
@@ -91,13 +92,15 @@ def _gzip(raw: bytes) -> bytes:
 
 def write_archives(pages: DataFrame, uri: str, least_bytes: int = 0) -> DataFrame:
     """Write all pages below ``uri``; return the index, one row a record: page_id, url, digest, kind, file, offset, length."""
-    page = F.coalesce(pages["page_id"].cast("bigint"), F.lit(_LAST))
+    page = pages["page_id"].cast("bigint")
     payload = F.coalesce(pages["html"].cast("string"), F.lit("")).cast("binary")
     keyed = pages.select(page.alias("page"), pages["url"].cast("string").alias("url"), payload.alias("payload"))
     keyed = keyed.withColumn("sha", F.unhex(F.sha1("payload")))
+    who = F.coalesce(F.col("page").cast("string"), F.lit(""))
     named = cut(keyed.select("page", "sha", F.octet_length("payload").cast("bigint").alias("size")), "payloads")
-    first = named.where(F.col("size") >= least_bytes).groupBy("sha").agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n"))
-    copies = named.join(first.where("n > 1"), "sha").select("page", "sha", "first").distinct()
+    least = F.min(F.struct(F.col("page").isNull().alias("null"), F.col("page"))).alias("least")
+    first = named.where(F.col("size") >= least_bytes).groupBy("sha").agg(least, F.count(F.lit(1)).alias("n"))
+    copies = named.join(first.where("n > 1"), "sha").select(who.alias("who"), "sha", F.col("least.page").alias("first"), F.lit(True).alias("copy")).distinct()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import uuid
@@ -109,11 +112,10 @@ def write_archives(pages: DataFrame, uri: str, least_bytes: int = 0) -> DataFram
         draft, out, at, last = f"{root}/.{name}-{uuid.uuid4().hex}", None, 0, None
         for batch in batches:
             rows: list[list] = [[] for _ in range(7)]
-            for p, url, body, sha, first in zip(*(batch.column(i) for i in range(5)), strict=True):
-                p, url, body, sha, first = p.as_py(), url.as_py(), body.as_py(), sha.as_py(), first.as_py()
-                revisit = first is not None and (first != p or last == (p, sha))
+            for row in zip(*(batch.column(i) for i in range(6)), strict=True):
+                p, url, body, sha, first, copy = (x.as_py() for x in row)
+                revisit = copy is not None and (first != p or last == (p, sha))
                 last = (p, sha)
-                p, first = (None if x == _LAST else x for x in (p, first))
                 digest = base64.b32encode(sha).decode()
                 raw = _gzip(record(p, url, body, digest, first, revisit))
                 if out is None:
@@ -131,8 +133,9 @@ def write_archives(pages: DataFrame, uri: str, least_bytes: int = 0) -> DataFram
 
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        keyed.join(copies, ["page", "sha"], "left")
-        .select("page", "url", "payload", "sha", "first")
+        keyed.withColumn("who", who)
+        .join(copies, ["who", "sha"], "left")
+        .select("page", "url", "payload", "sha", "first", "copy")
         .repartition(parts, "page", "sha")
         .sortWithinPartitions("page", "sha")
     )
@@ -195,9 +198,12 @@ def read_records(selected: DataFrame, uri: str) -> DataFrame:
                 run.append((at, n))
         yield from flush()
 
+    # Records of the same stretch of a file are read together; stretches are dealt evenly over tasks by bytes.
+    total = selected.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(int(selected.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // READ))
     return (
         selected.select("file", "offset", "length")
-        .repartitionByRange("file", "offset")
+        .repartition(tasks, "file", (F.col("offset") / SPAN).cast("bigint"))
         .sortWithinPartitions("file", "offset")
         .mapInArrow(read, "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, body binary")
     )
