@@ -682,3 +682,119 @@ def test_pipeline(spark, data, docs):
     kept = {r.doc_id for r in frame.select("doc_id").collect()}
     last = corpus_pipeline.STAGES[-1][1](spark, frame, data)
     assert {r.doc_id for r in last.collect()} == kept and len(kept) > 0.7 * len(docs)
+
+
+def test_packing_needs_few_sequences(spark, data, docs):
+    """No more sequences than best-fit decreasing, piece by piece, and hardly more than the tokens fill."""
+    got = packing.op4_best_fit_packing(spark, data).select("length", "sequence_id").collect()
+    room = []
+    for n in sorted((r.length for r in got), reverse=True):
+        at = min((i for i, x in enumerate(room) if x >= n), key=lambda i: room[i], default=None)
+        if at is None:
+            room.append(2048 - n)
+        else:
+            room[at] -= n
+    used = len({r.sequence_id for r in got})
+    assert used <= len(room) + 1 and used >= -(-sum(r.length for r in got) // 2048)
+
+
+def _curve_index(point):
+    """Hilbert index by the published transposed form (Skilling 2004), in plain integers."""
+    n, b, x = hilbert_shards.DIMENSIONS, hilbert_shards.BITS, list(point)
+    q = 1 << (b - 1)
+    while q > 1:
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0] ^= t
+                x[i] ^= t
+        q >>= 1
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t, q = 0, 1 << (b - 1)
+    while q > 1:
+        if x[n - 1] & q:
+            t ^= q - 1
+        q >>= 1
+    x = [v ^ t for v in x]
+    return sum((x[i] >> k & 1) << (k * n + n - 1 - i) for k in range(b) for i in range(n))
+
+
+def test_shards_by_brute_force(spark, data, docs):
+    """Every row's curve index from its cell, and shards as runs of equal counts along the order."""
+    frame = spark.read.parquet(f"{data}/documents.parquet")
+    cells = {(r.doc_id, r.text_crc32): _curve_index((r.d0, r.d1, r.d2)) for r in hilbert_shards._cells(frame).collect()}
+    rows = hilbert_shards.hilbert_shards(frame, 24).collect()
+    assert all(cells[r.doc_id, r.text_crc32] == r.curve for r in rows)
+    along = sorted(rows, key=lambda r: (r.shard, r.slot))
+    assert [r.curve for r in along] == sorted(cells.values())
+    assert [r.shard for r in along] == [i * 24 // len(rows) for i in range(len(rows))]
+
+
+def _kept_by_brute_force(rows, labels, items):
+    """The pipeline's rows by plain loops, but for the scores of the toxicity stage, which come from its model."""
+    last = {}
+    for i, (doc, text) in enumerate(rows):
+        key = text or ""
+        best = last.get(key)
+        if best is None or (rows[best][0] is not None, rows[best][0] or 0) < (doc is not None, doc or 0):
+            last[key] = i
+    own = sorted(last.values())
+    sets = []
+    for i in own:
+        w = (rows[i][1] or "").lower().split()
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset())
+    label = _components(len(own), [(a, b) for a in range(len(own)) for b in range(a) if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    best = {}
+    for k, c in enumerate(label):
+        doc = rows[own[k]][0]
+        if c not in best or (doc is None, doc or 0) < (rows[best[c]][0] is None, rows[best[c]][0] or 0):
+            best[c] = own[k]
+    out = []
+    for i in sorted(best.values()):
+        w = [x.decode() for x in words(rows[i][1])]
+        leak = False
+        for _, item in items:
+            q = [x.decode() for x in words(item)]
+            if q:
+                spans = range(max(1, len(w) - len(q) + 1))
+                leak |= any(_word_distance(q, w[s : s + len(q)]) <= int(0.2 * len(q) + 1e-9) for s in spans if len(set(q) & set(w[s : s + len(q)])) >= len(set(q)) / 2)
+        if not leak:
+            out.append(i)
+    return out
+
+
+def test_pipeline_by_brute_force(spark, tmp_path, monkeypatch):
+    """Nulls, empty texts, ties, repeated rows and leaks through all stages; then empty tables."""
+    import corpus_pipeline
+
+    for name, value in (("WORD", 1.0), ("NEUTRAL", 1.0)):  # a table as small as this one tells little
+        monkeypatch.setattr(toxicity, name, value)
+    rnd = random.Random(15)
+    pool = [f"w{i}" for i in range(600)]
+    item = " ".join(rnd.choices(pool, k=20))
+    base = [" ".join(rnd.choices(pool, k=rnd.randrange(30, 90))) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(base)]
+    for i in range(20):
+        own = base[i].split()
+        own[rnd.randrange(len(own))] = "changed"
+        rows.append((100 + i, " ".join(own)))
+    rows += [(200, base[1]), (None, base[2]), (None, base[3]), (7, base[4]), (7, base[5]), (7, base[5]), (201, item), (202, base[6] + " " + item), (None, "x " + item), (None, "alone one"), (None, "alone two")]
+    rows += [(203, None), (204, ""), (None, None), (205, "w1 w2"), (205, "w1 w2")]
+    rows += [(300 + i, " ".join(x for k, w in enumerate(rnd.choices(pool, k=30)) for x in ([w, "vile"] if k % 2 else [w]))) for i in range(150)]
+    labels = [(i, 1, int(i >= 300)) for i in [*range(60), *range(300, 450)]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, frame in (
+        ("documents", spark.createDataFrame([(d, t, None, "s", 1) for d, t in rows], schema)),
+        ("labels", spark.createDataFrame(labels, "doc_id long, quality int, toxic int")),
+        ("benchmark", spark.createDataFrame([(1, item), (2, None)], "item_id long, text string")),
+    ):
+        frame.write.parquet(f"{tmp_path}/{name}.parquet")
+        frame.where("false").write.parquet(f"{tmp_path}/none/{name}.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "length").collect()
+    clean = [r for r in rows if "vile" not in (r[1] or "")]
+    want = [clean[i] for i in _kept_by_brute_force(clean, labels, [(1, item)])]
+    assert Counter((r.doc_id, r.length) for r in got) == Counter((d, len(_ids(t or "", 0))) for d, t in want)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
