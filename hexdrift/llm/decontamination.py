@@ -43,7 +43,7 @@ from pyspark.sql.types import StructType
 from .common import cut, documents, slices, text_column, words
 
 SIMILARITY = 0.8
-WALKS, TABLES, SAMPLES = 8, 6, 2
+WALKS, TABLES, SAMPLES = 8, 14, 3
 BLOCK_ITEMS, BLOCK_WORDS = 10_000, 2_000_000
 #: Sizes up to this times the least one are walked together.
 SPREAD = 1.25
