@@ -490,6 +490,15 @@ def _leader_edges(members: DataFrame, sets: DataFrame, threshold: float, most: i
     return ordered.select("leader", "node", "shingles").mapInArrow(run, "u bigint, v bigint")
 
 
+def _rest(members: DataFrame) -> DataFrame:
+    """Blocks (key, n, top, rest) of members (key, node, label) that not all have the commonest label: members, that label, how many have another or none."""
+    kinds = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    top = F.max(F.when(F.col("label").isNotNull(), F.struct("n", "label"))).alias("top")
+    told = kinds.groupBy("key").agg(F.sum("n").alias("n"), top)
+    rest = F.col("n") - F.coalesce(F.col("top.n"), F.lit(0))
+    return told.select("key", "n", F.col("top.label").alias("top"), rest.alias("rest")).where("n > 1 AND rest > 0")
+
+
 def similar_edges(nodes: DataFrame, sets: DataFrame, threshold: float, radius: int, most: int = MOST_ALIKE) -> DataFrame:
     """Edges between rows (node, fp, least, size, bins) of different shingle sets at ``threshold`` or more; ``sets`` has (node, fp, bins, shingles)."""
     own = ["node", "fp", "size", "bins"]
@@ -497,36 +506,31 @@ def similar_edges(nodes: DataFrame, sets: DataFrame, threshold: float, radius: i
     keys = cut(nodes.select(*own, F.explode(F.filter(strata, lambda s: s.isNotNull())).alias("key")), "strata")
     sizes = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
     placed = keys.join(sizes, "key")
-    blocks = placed.where(F.col("n") <= most).select(*own, "key", F.lit(0).alias("tile"))
+    blocks = placed.where(F.col("n") <= most).select(*own, "key", F.lit(0).cast("bigint").alias("tile"))
     led = None
     if not sizes.where(F.col("n") > most).isEmpty():
         hot = cut(placed.where(F.col("n") > most).select(*own, "key"), "hot")
         led = cut(_leader_edges(hot, sets, threshold, most), "stars")
         label = cut(led.unionByName(led.select(F.col("v").alias("u"), "v")).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")), "labels")
+        # Members with the commonest label of a block need no comparison with each other; blocks without others are done.
+        named = cut(hot.select("node", "key").join(label, "node", "left"), "named")
+        open_ = _rest(named).select("key")
         # Two members agree in one large block only (missed once in 12,000 at 0.8), or in two: where they agree in a small one they have met.
-        at = lambda side: hot.select("node", F.col("key.i").alias(side), F.col("key.x").alias(side * 2))
-        two = at("i").join(at("k"), "node").where("i < k")
-        finer = two.select("node", F.struct("i", "k", F.col("ii").alias("x"), F.col("kk").alias("y")).alias("key"))
-        finer = cut(finer.join(label, "node", "left"), "finer")
-        # Members with the commonest label of a block need no comparison with each other.
-        kinds = finer.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-        seen = cut(
-            kinds.groupBy("key")
-            .agg(F.sum("n").alias("n"), F.max(F.when(F.col("label").isNotNull(), F.struct("n", "label"))).alias("top"))
-            .select("key", "n", F.col("top.label").alias("top"), (F.col("n") - F.coalesce(F.col("top.n"), F.lit(0))).alias("rest"))
-            .where("n > 1 AND rest > 0"),
-            "rest",
-        )
+        several = named.join(open_, "key").groupBy("node", "label").agg(F.sort_array(F.collect_list("key")).alias("keys")).where("size(keys) > 1")  # at most STRATA
+        pair = lambda x, y: F.struct(x["i"].alias("i"), y["i"].alias("k"), x["x"].alias("x"), y["x"].alias("y"))
+        pairs = F.flatten(F.transform(F.col("keys"), lambda x, at: F.transform(F.filter(F.col("keys"), lambda y, to: to > at), lambda y: pair(x, y))))
+        finer = cut(several.select("node", "label", F.explode(pairs).alias("key")), "finer")
+        seen = cut(_rest(finer), "rest")
         sized = finer.join(seen, "key").select("node", "key", "n", "rest", (~F.col("label").eqNullSafe(F.col("top"))).alias("odd"))
-        small = sized.where(F.col("n") <= most).select("node", "key", F.lit(0).alias("tile"))
+        small = sized.where(F.col("n") <= most).select("node", "key", F.lit(0).cast("bigint").alias("tile"))
         # Of what is too large, the rest and all are dealt to tiles, and each tile of the rest meets each of all.
-        large = sized.where(F.col("n") > most).withColumn("g", F.ceil(F.col("n") * 2 / most).cast("int")).withColumn("r", F.ceil(F.col("rest") * 2 / most).cast("int"))
-        spot = lambda salt, parts: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(parts)).cast("int")
-        upto = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+        large = sized.where(F.col("n") > most).withColumn("g", F.ceil(F.col("n") * 2 / most).cast("bigint")).withColumn("r", F.ceil(F.col("rest") * 2 / most).cast("bigint"))
+        spot = lambda salt, parts: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(parts))
+        upto = lambda parts: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1))
         met = large.select("node", "key", "g", upto("r").alias("a"), spot(1, "g").alias("b")).unionByName(
             large.where("odd").select("node", "key", "g", spot(2, "r").alias("a"), upto("g").alias("b"))
         )
-        tiled = met.select("node", "key", (F.col("a") * F.col("g") + F.col("b") + 1).cast("int").alias("tile")).distinct()
+        tiled = met.select("node", "key", (F.col("a") * F.col("g") + F.col("b") + 1).alias("tile")).distinct()
         blocks = blocks.unionByName(small.unionByName(tiled).join(nodes.select(*own), "node").select(*own, "key", "tile"))
     members = cut(_alike(blocks.select(*own, F.xxhash64("key", "tile").alias("block")), threshold, radius), "alike")
     loaded = members.join(sets.select("node", "fp", "bins", "shingles"), "node")
