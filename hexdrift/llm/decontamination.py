@@ -13,7 +13,7 @@ by brute force for items of 10 to 130 words.
 
 Before any walk, windows are ruled out that contain too few word pairs of the
 benchmark: an edit touches two pairs at most, so a window within k edits of an item
-of n words has n - 1 - 2 k of its pairs at least. Nor do windows count that
+of n words has n - 1 - 2 k of its pairs, and n - k of its words, at least. Nor do windows count that
 repeat a few words over and over: an edit takes away one kind of word at most.
 Before exact verification words are compared as multisets. None of this loses
 anything.
@@ -48,6 +48,7 @@ BLOCK_ITEMS, BLOCK_WORDS = 10_000, 2_000_000
 #: Sizes up to this times the least one are walked together.
 SPREAD = 1.25
 NEAR = 6
+MARKS = 1 << 20
 #: Windows walked together.
 RUN = 1 << 17
 #: Bytes of text looked at together.
@@ -118,6 +119,8 @@ class Block:
                     table.setdefault(k, set()).add(i)
             self.tables[low] = {k: sorted(v) for k, v in table.items()}
         self.sorted_keys = {n: np.array(sorted(t), np.uint64) for n, t in self.tables.items()}
+        #: By group: which values the low bits of its keys have, so that few are looked up.
+        self.marks = {n: np.bincount((k & np.uint64(MARKS - 1)).astype(np.int64), minlength=MARKS) > 0 for n, k in self.sorted_keys.items()}
 
     def keys(self, codes: np.ndarray, start: np.ndarray, length: np.ndarray, size: np.ndarray, low: int) -> Iterator[np.ndarray]:
         """The hash keys of windows of ``length`` words at ``start``, one array a table; a key holds the item's size, too."""
@@ -156,6 +159,7 @@ class Block:
         for b in range(1, NEAR + 1):
             fresh[b:] &= codes[b:] != codes[:-b]
         kinds = np.concatenate([[0], np.cumsum(fresh, dtype=np.int32)])
+        member = np.concatenate([[0], np.cumsum(codes > 0, dtype=np.int32)])
         room = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(codes))  # words left in the document
         owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
         begin = ends - np.diff(ends, prepend=0)
@@ -170,6 +174,7 @@ class Block:
             for n in sizes:
                 own = maybe[room[maybe] >= n]
                 own = own[known[own + n - 1] - known[own] >= n - 1 - 2 * self.allowed[n]]
+                own = own[member[own + n] - member[own] >= n - self.allowed[n]]
                 own = own[kinds[own + n] - kinds[own] + NEAR >= self.kinds[n] - self.allowed[n]]
                 short = np.flatnonzero((held < n) & (held >= max(1, n - self.allowed[n])))
                 short = short[known[ends[short] - 1] - known[begin[short]] >= n - 1 - 2 * self.allowed[n]]
@@ -177,13 +182,14 @@ class Block:
                 widths += [np.full(len(own), n), held[short]]
                 lengths.append(np.full(len(own) + len(short), n))
             start, width, size = np.concatenate(starts), np.concatenate(widths), np.concatenate(lengths)
-            table, listed = self.tables[low], self.sorted_keys[low]
+            table, listed, marks = self.tables[low], self.sorted_keys[low], self.marks[low]
             for a in range(0, len(start), RUN):
                 own, wide, n = start[a : a + RUN], width[a : a + RUN], size[a : a + RUN]
                 pairs: set[tuple[int, int, int, int]] = set()
                 for key in self.keys(codes, own, wide, n, low):
-                    at = np.minimum(np.searchsorted(listed, key), len(listed) - 1)
-                    for k in np.flatnonzero(listed[at] == key).tolist():
+                    some = np.flatnonzero(marks[(key & np.uint64(MARKS - 1)).astype(np.int64)])
+                    at = np.minimum(np.searchsorted(listed, key[some]), len(listed) - 1)
+                    for k in some[listed[at] == key[some]].tolist():
                         s = int(own[k])
                         pairs.update((int(owner[s]), i, s, int(wide[k])) for i in table[int(key[k])])
                 for doc, i, s, m in sorted(pairs):
