@@ -307,7 +307,7 @@ def _toxicity_ratios(rows):
     for h, w in {(h, w) for _, h, w in pair if h}:
         n = [pair[c, h, w] for c in (0, 1)]
         t = [contexts[c, h] for c in (0, 1)]
-        if sum(n) > 1:
+        if max(n) >= toxicity.CONTEXTS:
             q = [(max(n[c] - d, 0) + (d * before[c, h] + other) * sum(n) / sum(t) * p[w][c] / shared[w]) / (t[c] + other) for c in (0, 1)]
             x = np.log(q[1] / q[0])
             if abs(x - ratio.get(w, 0)) >= toxicity.NEUTRAL:
