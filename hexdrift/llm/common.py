@@ -79,12 +79,12 @@ def keep_rows(docs: DataFrame, told: DataFrame) -> DataFrame:
 
     Of rows with one key, as many are equal in doc_id and text, so that it does not matter which
     of them stays: none where no decision says 1, else one. Only keys of which
-    rows go take part in the join, which Spark broadcasts while they are few.
+    rows go take part in the join, which shuffles each text once at every size.
     """
     keys = told.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("keep").alias("keep")).where("n > 1 OR keep = 0")
     keys = cut(keys.select(F.col("key").alias("_hd_key"), F.col("keep").alias("_hd_keep")), "going")
     marked = docs.withColumn("_hd_key", row_key(docs))
-    out = marked.join(keys.select("_hd_key"), "_hd_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = marked.join(keys.select("_hd_key").hint("merge"), "_hd_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     if keys.where("_hd_keep = 1").isEmpty():
         return out
     whole = F.any_value(F.struct(*[marked[f"`{c}`"] for c in docs.columns])).alias("_hd_row")

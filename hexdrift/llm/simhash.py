@@ -52,7 +52,7 @@ STRATA = 8
 BINS = 64
 MOST_MEMBERS = 4096
 #: Members of a block compared in one task, and leaders of a larger one.
-MOST_ALIKE, LEADERS = 1024, 3
+MOST_ALIKE, LEADERS = 4096, 3
 _ONE = np.uint64(1)
 
 
@@ -503,13 +503,14 @@ def similar_edges(nodes: DataFrame, sets: DataFrame, threshold: float, radius: i
     """Edges between rows (node, fp, least, size, bins) of different shingle sets at ``threshold`` or more; ``sets`` has (node, fp, bins, shingles)."""
     own = ["node", "fp", "size", "bins"]
     strata = F.transform(F.col("least"), lambda x, i: F.when(x.isNotNull(), F.struct(i.alias("i"), F.lit(-1).alias("k"), x.alias("x"), F.lit(0).cast("bigint").alias("y"))))
-    keys = cut(nodes.select(*own, F.explode(F.filter(strata, lambda s: s.isNotNull())).alias("key")), "strata")
+    keys = nodes.select("node", F.explode(F.filter(strata, lambda s: s.isNotNull())).alias("key"))
+    # Joins that grow with the input are merge joins at every size, so that plans are the same for small and large ones.
     sizes = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-    placed = keys.join(sizes, "key")
-    blocks = placed.where(F.col("n") <= most).select(*own, "key", F.lit(0).cast("bigint").alias("tile"))
+    placed = cut(keys.join(sizes.hint("merge"), "key"), "placed")
+    blocks = placed.where(F.col("n") <= most).select("node", "key", F.lit(0).cast("bigint").alias("tile"))
     led = None
     if not sizes.where(F.col("n") > most).isEmpty():
-        hot = cut(placed.where(F.col("n") > most).select(*own, "key"), "hot")
+        hot = placed.where(F.col("n") > most).select("node", "key")
         led = cut(_leader_edges(hot, sets, threshold, most), "stars")
         label = cut(led.unionByName(led.select(F.col("v").alias("u"), "v")).groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")), "labels")
         # Members with the commonest label of a block need no comparison with each other; blocks without others are done.
@@ -531,9 +532,10 @@ def similar_edges(nodes: DataFrame, sets: DataFrame, threshold: float, radius: i
             large.where("odd").select("node", "key", "g", spot(2, "r").alias("a"), upto("g").alias("b"))
         )
         tiled = met.select("node", "key", (F.col("a") * F.col("g") + F.col("b") + 1).alias("tile")).distinct()
-        blocks = blocks.unionByName(small.unionByName(tiled).join(nodes.select(*own), "node").select(*own, "key", "tile"))
-    members = cut(_alike(blocks.select(*own, F.xxhash64("key", "tile").alias("block")), threshold, radius), "alike")
-    loaded = members.join(sets.select("node", "fp", "bins", "shingles"), "node")
+        blocks = blocks.unionByName(small).unionByName(tiled)
+    blocks = blocks.select("node", F.xxhash64("key", "tile").alias("block")).join(nodes.select(*own).hint("merge"), "node")
+    members = cut(_alike(blocks, threshold, radius), "alike")
+    loaded = members.hint("merge").join(sets.select("node", "fp", "bins", "shingles"), "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, node, fp, bins, raw in _in_blocks(batches, 5):
@@ -551,7 +553,7 @@ def _similar(docs: DataFrame, size: int, threshold: float, radius: int) -> tuple
     rows = cut(sketches(docs, size), "sketches")
     top = F.min(F.struct(F.col("doc").isNull().alias("null"), "doc", "row"))
     classes = cut(rows.groupBy("same").agg(F.min("row").alias("node"), top.alias("top")), "classes")
-    nodes = cut(rows.select(F.col("row").alias("node"), "fp", "least", "size", "bins").join(classes.select("node"), "node"), "nodes")
+    nodes = cut(rows.select(F.col("row").alias("node"), "fp", "least", "size", "bins").join(classes.select("node").hint("merge"), "node"), "nodes")
     sets = rows.select(F.col("row").alias("node"), "fp", "bins", "shingles")
     found = components(similar_edges(nodes, sets, threshold, radius))
     label = classes.join(found, "node", "left").select("same", "node", "top", F.coalesce("component", "node").alias("component"))
