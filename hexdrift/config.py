@@ -27,6 +27,13 @@ RANGES = {"added_frac_of_county": 0.15, "signal_jump_implausibility": 20.0}
 MIN_ADDED_KM2, SAME_SITE, COUNTY_FRACTION, BLANKET, UNATTRIBUTED = 10.0, 0.50, 0.075, 0.20, 1.01
 NEW_SHARE, CROSS_SHARE = 0.50, 0.35
 SEVERITY = ((0.99, "Top 1%"), (0.95, "Top 5%"), (0.90, "Top 10%"))
+LEGACY_SEVERITY = ((0.70, "Top 1%"), (0.55, "Top 5%"), (0.40, "Top 10%"))
+#: Least and greatest hue, least saturation and value of coverage on a rendered map; signal by saturation x value.
+GREEN = (0.20, 0.45, 0.20)
+GREEN_DBM = ((0.85, -85.0), (0.55, -95.0), (0.0, -105.0))
+#: Names that a column may arrive under, the first one found counts. Fixed values, in this order.
+SIGNAL_NAMES = ("minsignal", "min_signal", "signal", "sig_strength", "signalstr")
+GEOMETRY_NAMES = ("geometry_wkt", "wkt", "geom_wkt", "the_geom", "geometry", "geom", "shape")
 TIERS = ((50, "red"), (100, "orange"), (150, "yellow"), (250, "green"))
 CORE_TARGET, CORE_LOW, CORE_HIGH = 0.35, 0.18, 0.60
 GRACE_DAYS = 90

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import coverage, geometry, tables, validation
+from . import coverage, geometry, scopes, tables, validation
 
-QUERIES: dict = coverage.QUERIES | tables.QUERIES | validation.QUERIES | geometry.QUERIES
-ORACLES: dict[str, str] = coverage.ORACLES | tables.ORACLES | validation.ORACLES | geometry.ORACLES
+QUERIES: dict = coverage.QUERIES | tables.QUERIES | validation.QUERIES | geometry.QUERIES | scopes.QUERIES
+ORACLES: dict[str, str] = coverage.ORACLES | tables.ORACLES | validation.ORACLES | geometry.ORACLES | scopes.ORACLES

@@ -157,9 +157,9 @@ def _(spark, d):
     return change(spark, d).groupBy(*UNIT, "status").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("signal_delta"), 6).alias("mean_delta"))
 
 
-@query("j1_full_outer_layers", "SELECT provider_id, technology, cell, signal_prior, signal_current, status FROM change WHERE provider_id = 0")
+@query("j1_full_outer_layers", "SELECT provider_id, technology, cell, signal_prior, signal_current, status FROM change")
 def _(spark, d):
-    layer = L.strongest(M.observations(spark, d).where("provider_id = 0"), [*UNIT, "vintage", "cell"])
+    layer = L.strongest(M.observations(spark, d), [*UNIT, "vintage", "cell"])
     of = lambda v: layer.where(F.col("vintage") == v)
     return H.layer_change(of("prior"), of("current"), [*UNIT, "cell"]).select(*UNIT, "cell", "signal_prior", "signal_current", "status")
 
@@ -403,7 +403,7 @@ def _edges(cells: DataFrame) -> DataFrame:
 
 
 def _unit_cells(spark: SparkSession, d: str) -> DataFrame:
-    layer = L.strongest(M.observations(spark, d).where("vintage = 'current' AND provider_id = 0 AND technology = 'N'"), [*UNIT, "cell"])
+    layer = L.strongest(M.observations(spark, d).where("vintage = 'current'"), [*UNIT, "cell"])
     return layer.where("signal_dbm >= -75")
 
 
@@ -416,6 +416,8 @@ def components(cells: DataFrame) -> DataFrame:
     """
     spark = cells.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hexdrift-"))
@@ -431,40 +433,55 @@ def components(cells: DataFrame) -> DataFrame:
         label = new.drop("old")
 
 
+def depths(cells: DataFrame, most: int = 40) -> DataFrame:
+    """Steps from the outside of each cell's blob, 1 at its edge, up to ``most``; a round for each step that any cell needs."""
+    edges = _edges(cells).checkpoint()
+    n = edges.groupBy(*UNIT, "cell").agg(F.count(F.lit(1)).alias("n"))
+    known = cells.join(n, [*UNIT, "cell"], "left").select(*UNIT, "cell", F.when(F.coalesce("n", F.lit(0)) < 6, 1).alias("depth")).checkpoint()
+    for depth in range(2, most + 1):
+        reached = known.where(F.col("depth") == depth - 1).select(*UNIT, F.col("cell").alias("other"))
+        nearby = edges.join(reached, [*UNIT, "other"]).select(*UNIT, "cell").distinct().withColumn("on", F.lit(True))
+        new = known.join(nearby, [*UNIT, "cell"], "left").select(*UNIT, "cell", F.coalesce("depth", F.when(F.col("on"), depth)).alias("depth")).checkpoint()
+        if new.where(F.col("depth") == depth).isEmpty():
+            break
+        known = new
+    return known.where("depth IS NOT NULL")
+
+
 _BLOB_SQL = SQL.replace("WITH ", "WITH RECURSIVE ", 1) + """
-, c AS (SELECT cell, cell % 50 AS q, cell // 50 AS r FROM layer WHERE vintage = 'current' AND provider_id = 0 AND technology = 'N' AND signal_dbm >= -75),
-e AS (SELECT a.cell, b.cell AS other FROM c a JOIN c b ON (b.q - a.q, b.r - a.r) IN ((1, 0), (-1, 0), (0, 1), (0, -1), (1, -1), (-1, 1))),
-walk AS (SELECT cell, cell AS label FROM c UNION SELECT e.other, walk.label FROM walk JOIN e ON walk.cell = e.cell)
+, c AS (SELECT provider_id, technology, cell, signal_dbm, cell % 50 AS q, cell // 50 AS r FROM layer WHERE vintage = 'current' AND signal_dbm >= -75),
+step AS (SELECT unnest([1, -1, 0, 0, 1, -1]) AS dq, unnest([0, 0, 1, -1, -1, 1]) AS dr),
+e AS (SELECT a.provider_id, a.technology, a.cell, b.cell AS other, b.signal_dbm FROM (SELECT c.*, q + dq AS q2, r + dr AS r2 FROM c, step) a
+  JOIN c b ON a.provider_id = b.provider_id AND a.technology = b.technology AND b.q = a.q2 AND b.r = a.r2),
+walk AS (SELECT provider_id, technology, cell, cell AS label FROM c
+  UNION SELECT e.provider_id, e.technology, e.other, walk.label FROM walk JOIN e USING (provider_id, technology, cell)),
+deep AS (SELECT provider_id, technology, cell, 1 AS depth FROM c WHERE (SELECT count(*) FROM e WHERE e.provider_id = c.provider_id AND e.technology = c.technology AND e.cell = c.cell) < 6
+  UNION SELECT e.provider_id, e.technology, e.other, deep.depth + 1 FROM deep JOIN e USING (provider_id, technology, cell) WHERE deep.depth < 40)
 """
 
 
-@query("t3_components", "SELECT cell, min(label) AS label FROM walk GROUP BY cell", _BLOB_SQL)
+@query("t3_components", "SELECT provider_id, technology, cell, min(label) AS label FROM walk GROUP BY ALL", _BLOB_SQL)
 def _(spark, d):
-    return components(_unit_cells(spark, d)).select("cell", "label")
+    return components(_unit_cells(spark, d)).select(*UNIT, "cell", "label")
 
 
-@query("t4_edge_cells", "SELECT c.cell, CASE WHEN count(e.other) < 6 THEN 1 ELSE 2 END AS depth FROM c LEFT JOIN e ON c.cell = e.cell GROUP BY c.cell", _BLOB_SQL)
+@query("t4_edge_cells", "SELECT provider_id, technology, cell, CAST(min(depth) AS INT) AS depth FROM deep GROUP BY ALL", _BLOB_SQL)
 def _(spark, d):
-    cells = _unit_cells(spark, d)
-    n = _edges(cells).groupBy(*UNIT, "cell").agg(F.count(F.lit(1)).alias("n"))
-    return cells.join(n, [*UNIT, "cell"], "left").select("cell", F.when(F.coalesce("n", F.lit(0)) < 6, 1).otherwise(2).alias("depth"))
+    return depths(_unit_cells(spark, d)).select(*UNIT, "cell", "depth")
 
 
-@query("t5_local_maxima", """SELECT c.cell FROM c JOIN layer l ON l.cell = c.cell AND vintage = 'current' AND provider_id = 0 AND technology = 'N'
-LEFT JOIN e ON e.cell = c.cell LEFT JOIN layer o ON o.cell = e.other AND o.vintage = 'current' AND o.provider_id = 0 AND o.technology = 'N'
-GROUP BY c.cell, l.signal_dbm HAVING coalesce(max(o.signal_dbm), -1e9) <= l.signal_dbm""", _BLOB_SQL)
+@query("t5_local_maxima", """SELECT c.provider_id, c.technology, c.cell FROM c LEFT JOIN e ON e.provider_id = c.provider_id AND e.technology = c.technology AND e.cell = c.cell
+GROUP BY c.provider_id, c.technology, c.cell, c.signal_dbm HAVING coalesce(max(e.signal_dbm), -1e9) <= c.signal_dbm""", _BLOB_SQL)
 def _(spark, d):
     cells = _unit_cells(spark, d)
     around = _edges(cells).join(cells.select(*UNIT, F.col("cell").alias("other"), F.col("signal_dbm").alias("s")), [*UNIT, "other"]).groupBy(*UNIT, "cell").agg(F.max("s").alias("s"))
-    return cells.join(around, [*UNIT, "cell"], "left").where("s IS NULL OR s <= signal_dbm").select("cell")
+    return cells.join(around, [*UNIT, "cell"], "left").where("s IS NULL OR s <= signal_dbm").select(*UNIT, "cell")
 
 
-@query("g9_neighbor_smoothing", """SELECT a.cell, round((a.signal_dbm + coalesce(sum(b.signal_dbm), 0) * 0.5e0) / (1e0 + count(b.cell) * 0.5e0), 6) AS smoothed
-FROM (SELECT l.*, cell % 50 AS q, cell // 50 AS r FROM layer l WHERE vintage = 'current' AND provider_id = 0 AND technology = 'N' AND signal_dbm >= -75) a
-LEFT JOIN (SELECT l.*, cell % 50 AS q, cell // 50 AS r FROM layer l WHERE vintage = 'current' AND provider_id = 0 AND technology = 'N' AND signal_dbm >= -75) b
-ON (b.q - a.q, b.r - a.r) IN ((1, 0), (-1, 0), (0, 1), (0, -1), (1, -1), (-1, 1)) GROUP BY a.cell, a.signal_dbm""")
+@query("g9_neighbor_smoothing", """SELECT c.provider_id, c.technology, c.cell, round((c.signal_dbm + coalesce(sum(e.signal_dbm), 0) * 0.5e0) / (1e0 + count(e.other) * 0.5e0), 6) AS smoothed
+FROM c LEFT JOIN e ON e.provider_id = c.provider_id AND e.technology = c.technology AND e.cell = c.cell GROUP BY c.provider_id, c.technology, c.cell, c.signal_dbm""", _BLOB_SQL)
 def _(spark, d):
     cells = _unit_cells(spark, d)
     near = _edges(cells).join(cells.select(*UNIT, F.col("cell").alias("other"), F.col("signal_dbm").alias("s")), [*UNIT, "other"]).groupBy(*UNIT, "cell").agg(F.sum("s").alias("s"), F.count(F.lit(1)).alias("n"))
     value = (F.col("signal_dbm") + F.coalesce("s", F.lit(0.0)) * 0.5) / (F.lit(1.0) + F.coalesce("n", F.lit(0)) * 0.5)
-    return cells.join(near, [*UNIT, "cell"], "left").select("cell", F.round(value, 6).alias("smoothed"))
+    return cells.join(near, [*UNIT, "cell"], "left").select(*UNIT, "cell", F.round(value, 6).alias("smoothed"))

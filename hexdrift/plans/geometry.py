@@ -169,16 +169,21 @@ def _(spark, d):
     return coverage.scored(spark, d).select("provider_id", "technology", "county_geoid", headline.alias("headline"), F.array_join(F.slice(said, 1, 4), "; ").alias("bullets"))
 
 
-@query("c4_flag_math")
+_POINTS = [("added_frac_of_county", "c1"), ("coverage_increase_magnitude", "c2"), ("blanket_fillin", "c3"), ("same_site_growth_share", "c4"), ("unattributed_share", "0e0"), ("boundary_snap_share", "c6"), ("new_site_share", "c7"), ("asr_no_new_structure", "0e0")]
+
+
+@query("c4_flag_math", coverage.SQL + " UNION ALL ".join(f"SELECT provider_id, technology, county_geoid, '{n}' AS feature, round({'0e0' if n == 'asr_no_new_structure' else n}, 3) AS value, round({c}, 4) AS points FROM scored" for n, c in _POINTS))
 def _(spark, d):
-    parts = F.array(*[F.struct(F.lit(n).alias("feature"), F.round(n, 3).alias("value"), F.round(f"score_contribution_{n}", 4).alias("points")) for n in S.contributions()])
-    return coverage.scored(spark, d).select("provider_id", "technology", "county_geoid", F.to_json(parts).alias("flag_math"))
+    """What each feature adds to the score, a row for each."""
+    parts = F.array(*[F.struct(F.lit(n).alias("feature"), F.round(F.col(n).cast("double"), 3).alias("value"), F.round(f"score_contribution_{n}", 4).alias("points")) for n in S.contributions()])
+    return coverage.scored(spark, d).select("provider_id", "technology", "county_geoid", F.explode(parts).alias("p")).select("provider_id", "technology", "county_geoid", "p.*")
 
 
-@query("k11_county_detail")
+@query("k11_county_detail", coverage.SQL + """SELECT provider_id, technology, county_geoid, count(*) AS n, count(*) FILTER (WHERE status = 'new') AS new_cells,
+string_agg(CAST(cell AS VARCHAR) || ':' || status, ',' ORDER BY cell) AS hexes FROM change JOIN (SELECT provider_id, technology, county_geoid FROM scored WHERE flag_for_review) USING (provider_id, technology, county_geoid) GROUP BY ALL""")
 def _(spark, d):
-    """Cells and sites of every county as one document each, for the flagged units."""
+    """Cells of every flagged county, in one text each, with their numbers."""
     flagged = coverage.scored(spark, d).where("flag_for_review").select("provider_id", "technology", "county_geoid")
     cells = coverage.change(spark, d).join(flagged, ["provider_id", "technology", "county_geoid"], "left_semi")
-    rows = cells.groupBy("provider_id", "technology", "county_geoid").agg(F.sort_array(F.collect_list(F.struct("cell", "status", "signal_current"))).alias("hexes"))
-    return rows.select("provider_id", "technology", "county_geoid", F.size("hexes").alias("n"), F.to_json("hexes").alias("detail"))
+    named = F.transform(F.sort_array(F.collect_list(F.struct("cell", "status"))), lambda c: F.concat(c["cell"].cast("string"), F.lit(":"), c["status"]))
+    return cells.groupBy("provider_id", "technology", "county_geoid").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "new").alias("new_cells"), F.array_join(named, ",").alias("hexes"))

@@ -99,10 +99,16 @@ def _(spark, d):
     return curve(rows(spark, d)).agg(F.round(F.sum(ratio(F.col("pos"), F.col("positives")) * F.col("tp") / (F.col("tp") + F.col("fp"))), 6).alias("ap"))
 
 
-@query("a21_calibration", "SELECT bin, round(avg(score), 6) AS mean_score, round(avg(label), 6) AS positive, count(*) AS n FROM (SELECT *, CAST(least(floor(score * 10), 9) AS INT) AS bin FROM v) GROUP BY bin")
+_CUTS = ", ".join(f"quantile_cont(score, {k / 10}) AS q{k}" for k in range(1, 10))
+
+
+@query("a21_calibration", f"SELECT bin, round(avg(score), 6) AS mean_score, round(avg(label), 6) AS positive, count(*) AS n FROM (SELECT v.*, CAST({' + '.join(f'CAST(score > q{k} AS INT)' for k in range(1, 10))} AS INT) AS bin FROM v, (SELECT {_CUTS} FROM v)) GROUP BY bin")
 def _(spark, d):
-    v = rows(spark, d).withColumn("bin", F.least(F.floor(F.col("score") * 10), F.lit(9)).cast("int"))
-    return v.groupBy("bin").agg(F.round(F.avg("score"), 6).alias("mean_score"), F.round(F.avg("label"), 6).alias("positive"), F.count(F.lit(1)).alias("n"))
+    """Bins of about equal numbers of rows: their ends are the deciles; empty ones are left out."""
+    v = rows(spark, d)
+    cuts = v.agg(F.percentile("score", [k / 10 for k in range(1, 10)])).first()[0] or []
+    bin_ = sum(((F.col("score") > c).cast("int") for c in cuts), F.lit(0))
+    return v.withColumn("bin", bin_).groupBy("bin").agg(F.round(F.avg("score"), 6).alias("mean_score"), F.round(F.avg("label"), 6).alias("positive"), F.count(F.lit(1)).alias("n"))
 
 
 @query("a22_cost_threshold", "SELECT arg_min(score, (fp * 1e0 + (positives - tp) * 5e0, score)) AS threshold, min(fp * 1e0 + (positives - tp) * 5e0) AS cost FROM curve")

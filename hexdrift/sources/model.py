@@ -85,7 +85,7 @@ def masts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """mast_id, x_m, y_m, county_geoid, event_date (first order, null without any)."""
     top = table(spark, sf_dir, "part").agg(F.max("p_partkey").alias("top")).first()["top"]
     key = F.col("c_custkey")
-    c = table(spark, sf_dir, "customer").where(key % 10 == 0)
+    c = table(spark, sf_dir, "customer")
     c = with_geo(c.select(key.alias("mast_id"), ((key * 7919) % (top + 1)).alias("cell"), F.col("c_acctbal").alias("off")), "x_m", "y_m", "county_geoid")
     first = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("mast_id")).agg(F.min("o_orderdate").cast("date").alias("event_date"))
     return c.join(first, "mast_id", "left").select("mast_id", (F.col("x_m") + F.col("off") / 10).alias("x_m"), "y_m", "county_geoid", "event_date")
@@ -152,6 +152,6 @@ mast AS (
            {SIDE_M * 1.5}::DOUBLE * (c // 50) AS y_m,
            lpad(CAST(((c % 50) // 10 + 5 * ((c // 50) // 10)) // 5 AS VARCHAR), 2, '0')
              || lpad(CAST((c % 50) // 10 + 5 * ((c // 50) // 10) AS VARCHAR), 3, '0') AS county_geoid
-    FROM (SELECT *, (c_custkey * 7919) % (top + 1) AS c FROM customer, top WHERE c_custkey % 10 = 0)) m
+    FROM (SELECT *, (c_custkey * 7919) % (top + 1) AS c FROM customer, top)) m
   LEFT JOIN (SELECT o_custkey AS mast_id, CAST(min(o_orderdate) AS DATE) AS event_date FROM orders GROUP BY 1) o ON m.mast_id = o.mast_id
 )"""

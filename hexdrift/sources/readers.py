@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-GEOMETRY_NAMES = ("wkt", "geometry", "geom", "the_geom", "wkt_geometry", "shape", "geometry_wkt")
-SIGNAL_NAMES = ("minsignal", "signal", "signal_dbm", "rssi", "dbm")
+from ..config import GEOMETRY_NAMES, SIGNAL_NAMES
 
 
 def alias(df: DataFrame, names: tuple[str, ...]) -> str | None:
