@@ -52,7 +52,7 @@ MARKS = 1 << 20
 #: Windows walked together.
 RUN = 1 << 17
 #: Bytes of text looked at together.
-PIECE = 3_000_000
+PIECE = 1_500_000
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:

@@ -437,20 +437,24 @@ def _in_blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[l
 
 
 def _alike(blocks: DataFrame, threshold: float, radius: int) -> DataFrame:
-    """Members (block, node) of blocks (block, node, fp, size, bins) that have another one within the radius or that may reach the threshold."""
+    """Members (block, node) of blocks (block, node, fp, size, bins) that have another one within the radius or that may reach the threshold.
+
+    A block is named after the members that are left, so that blocks in which the same ones are left become one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, node, fp, size, bins in _in_blocks(batches, 5):
+        for _, node, fp, size, bins in _in_blocks(batches, 5):
             near = np.zeros(len(node), bool)
             for i, j in links(np.array(fp, np.int64).view(np.uint64), np.array([len(node)]), radius):
                 near[i] = near[j] = True
             for i, j in candidates(np.array(size), bins_of(bins), threshold, lambda i, j, near=near: ~(near[i] & near[j])):
                 near[i] = near[j] = True
-            on = np.flatnonzero(near)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(block, np.int64)[on]), pa.array(np.array(node, np.int64)[on])], ["block", "node"])
+            left = np.array(node, np.int64)[near]
+            name = _signed(xxhash.xxh64_intdigest(left.tobytes(), SEED))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(left), name)), pa.array(left)], ["block", "node"])
 
     dealt = blocks.select("block", "node", "fp", "size", "bins").repartition("block").sortWithinPartitions("block", "node")
-    return dealt.mapInArrow(run, "block bigint, node bigint")
+    return dealt.mapInArrow(run, "block bigint, node bigint").distinct()
 
 
 def _leader_edges(members: DataFrame, sets: DataFrame, threshold: float, most: int) -> DataFrame:
