@@ -9,7 +9,7 @@ at a word of their own and the footer has their sizes, so that blocks can be
 found, skipped and decoded with array operations.
 
 Defined results: a null text is empty and yields the end id only. Documents are
-written in ascending doc_id order, null first, those of one doc_id by their ids; repeated rows are written each
+written in ascending doc_id order, null first, those of one doc_id by their text; repeated rows are written each
 time. An empty input gives no files and an empty result. Other columns are not
 looked at. A text of any length is encoded whole.
 """
@@ -20,7 +20,9 @@ import re
 import struct
 import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +30,13 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, fresh_dir, slices, text_column
+from .common import documents, fresh_dir, slices, text_column
 
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks kept in a worker's cache; it starts anew when full.
 CACHE = 1_000_000
 END_ID = 1
-#: Ids of a file take about this many bytes before they are packed.
+#: A file takes about this many bytes of text.
 FILE_BYTES = 1 << 29
 
 
@@ -79,9 +81,27 @@ class Encoder:
             self._add(raw, [t.id for t in self.model.tokenize(piece)])
         return self.flat[self.ends[code] : self.ends[code + 1]]
 
-    def _learn(self, chunks: set[bytes]) -> None:
+    def _learn(self, chunks: list[bytes]) -> None:
         odd, plain = [], self._plain.fullmatch
+        codes, flat, ends, tokenize = self.codes, self.flat, self.ends, self.model.tokenize
         for chunk in chunks:
+            if chunk.isascii():  # most chunks: letters, then stops perhaps
+                low = chunk.lower()
+                raw = low.rstrip(b".,")
+                if raw.isalpha():
+                    at = codes.get(raw)
+                    if at is None:
+                        at = codes[raw] = len(ends) - 1
+                        flat.extend([t.id for t in tokenize(raw.decode())])
+                        ends.append(len(flat))
+                    if chunk != raw:
+                        ids = flat[ends[at] : ends[at + 1]]
+                        if len(raw) < len(low):
+                            ids += self._word(low[len(raw) :].decode())
+                        codes[chunk] = len(ends) - 1
+                        flat.extend(ids)
+                        ends.append(len(flat))
+                    continue
             text = chunk.decode()
             match = plain(text.lower())
             if not match:
@@ -104,17 +124,22 @@ class Encoder:
             if t:
                 chunks += t.encode("utf-8", "replace").split()
             ends.append(len(chunks))
-        new = set(chunks).difference(self.codes)
+        # Chunks are numbered in a dictionary of their own, which is small, and looked up in the large one once each.
+        own: defaultdict[bytes, int] = defaultdict(count().__next__)
+        at = np.fromiter(map(own.__getitem__, chunks), np.int64, len(chunks))
+        new = [c for c in own if c not in self.codes]
         if len(self.codes) + len(new) > CACHE:
             self._clear()
-            new = set(chunks)
+            new = list(own)
         self._learn(new)
-        code = np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks))
-        bounds = np.array(self.ends)
-        start, size = bounds[code], np.diff(bounds)[code]
+        code = np.fromiter(map(self.codes.__getitem__, own), np.int64, len(own))[at]
+        # Views, not copies: the cache is far larger than a piece. They are gone before it grows again.
+        bounds = np.frombuffer(self.ends, np.int64)
+        start, size = bounds[code], bounds[code + 1] - bounds[code]
         after = np.concatenate([[0], np.cumsum(size)])
         at = np.repeat(start - after[:-1], size) + np.arange(after[-1])
-        return np.array(self.flat, np.uint32)[at], np.diff(after[np.array(ends)])
+        ids = np.frombuffer(self.flat, np.uint32)[at] if len(at) else np.zeros(0, np.uint32)
+        return ids, np.diff(after[np.array(ends)])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -344,21 +369,8 @@ def write_tokens(docs: DataFrame, uri: str, partitions: int | None = None, vocab
     A file is written under a temporary name and renamed when whole, so that a
     task that runs again, or twice, leaves the same file.
     """
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, ids, counts in encoded(batch, vocabulary):
-                raw = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
-                wide = bool(len(raw)) and int(raw.max()) > 0xFFFF
-                raw = raw if wide else raw.astype("<u2")
-                size = raw.itemsize * (counts + 1)
-                offsets = pa.array(np.r_[0, np.cumsum(size)].astype(np.int64))
-                own = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, offsets.buffers()[1], pa.py_buffer(raw.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(np.full(b - a, wide)), own.cast(pa.binary())], ["doc_id", "wide", "ids"])
-
-    # Ids are dealt rather than texts: some two bytes a token.
     slim = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_column(docs).alias("text"))
-    rows = cut(slim.mapInArrow(encode, "doc_id bigint, wide boolean, ids binary"), "ids")
-    held = rows.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()[0]
+    held = slim.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]
     n = partitions or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // FILE_BYTES))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,24 +381,24 @@ def write_tokens(docs: DataFrame, uri: str, partitions: int | None = None, vocab
         store, root = open_fs(uri)
         name = f"part-{TaskContext.get().partitionId():06d}.s8b"
         draft = f"{root}/.{name}-{uuid.uuid4().hex}"
-        writer, out, count = None, None, 0
+        writer, out, rows = None, None, 0
         for batch in batches:
-            if writer is None and batch.num_rows:
-                out = store.open_output_stream(draft)
-                writer = Writer(out)
-            for a, b in slices((len(x.as_py()) for x in batch.column("ids")), 1 << 23):
-                parts = [np.frombuffer(x, "<u4" if w else "<u2") for w, x in zip(batch.column("wide").slice(a, b - a).to_pylist(), batch.column("ids").slice(a, b - a).to_pylist(), strict=True)]
+            for a, b, ids, counts in encoded(batch, vocabulary):
+                if writer is None:
+                    out = store.open_output_stream(draft)
+                    writer = Writer(out)
+                whole = np.insert(ids, np.cumsum(counts), end_id)
                 key = batch.column("doc_id").slice(a, b - a)
-                whole = np.concatenate([x.astype(np.uint64) for x in parts])
-                writer.add(key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False), whole, np.array([len(x) for x in parts]))
-                count += b - a
+                writer.add(key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False), whole, counts + 1)
+                rows += b - a
         if writer is not None:
             total = writer.close()
             out.close()
             store.move(draft, f"{root}/{name}")
-            yield pa.RecordBatch.from_pydict({"name": [name], "rows": pa.array([count], pa.int64()), "ids": pa.array([total], pa.int64())})
+            yield pa.RecordBatch.from_pydict({"name": [name], "rows": pa.array([rows], pa.int64()), "ids": pa.array([total], pa.int64())})
 
-    files = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(write, "name string, rows bigint, ids bigint")
+    # Texts are dealt and encoded afterwards: encoded first, ids would have to be written as well, since the ranges are sampled.
+    files = slim.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(write, "name string, rows bigint, ids bigint")
     return sorted(tuple(r) for r in files.collect())  # one row a file
 
 

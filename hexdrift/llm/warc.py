@@ -132,12 +132,12 @@ def write_archives(pages: DataFrame, uri: str, least_bytes: int = 0) -> DataFram
             store.move(draft, f"{root}/{name}")
 
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Payloads are shuffled once: the join reuses the partitioning.
+    dealt = keyed.withColumn("who", who).repartition(parts, "who", "sha")
     placed = (
-        keyed.withColumn("who", who)
-        .join(copies, ["who", "sha"], "left")
+        dealt.join(copies.hint("merge"), ["who", "sha"], "left")
+        .sortWithinPartitions("who", "sha")
         .select("page", "url", "payload", "sha", "first", "copy")
-        .repartition(parts, "page", "sha")
-        .sortWithinPartitions("page", "sha")
     )
     index = placed.mapInArrow(write, "page_id bigint, url string, digest string, kind string, file string, offset bigint, length bigint")
     return cut(index, "index")
