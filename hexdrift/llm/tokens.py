@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,64 +58,76 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.model = self.tokenizer.model
-        self.letters = {i: c for i, c in _byte_letters().items()}
+        self.letters = _byte_letters()
+        self.stops: dict[str, array] = {}
         self._clear()
 
     def _clear(self) -> None:
         self.codes: dict[bytes, int] = {}
+        self.words: dict[str, int] = {}
         self.flat, self.ends = array("I"), array("q", [0])
 
-    def _add(self, chunk: bytes, *parts) -> None:
-        self.codes[chunk] = len(self.ends) - 1
-        for ids in parts:
-            self.flat.extend(ids)
+    def _add(self, ids) -> int:
+        self.flat.extend(ids)
         self.ends.append(len(self.flat))
-
-    def _word(self, word: str) -> array:
-        raw = word.encode()
-        code = self.codes.get(raw)
-        if code is None:
-            piece = word if word.isascii() else "".join(map(self.letters.__getitem__, raw))
-            code = len(self.ends) - 1
-            self._add(raw, [t.id for t in self.model.tokenize(piece)])
-        return self.flat[self.ends[code] : self.ends[code + 1]]
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        odd, plain = [], self._plain.fullmatch
-        for chunk in chunks:
+        return len(self.ends) - 2
+
+    def _word(self, word: str) -> int:
+        piece = word if word.isascii() else "".join(map(self.letters.__getitem__, word.encode()))
+        self.words[word] = code = self._add([t.id for t in self.model.tokenize(piece)])
+        return code
+
+    def _learn(self, chunks: list[bytes]) -> list[int]:
+        """Codes of chunks that are not in the cache yet."""
+        odd, plain, out = [], self._plain.fullmatch, []
+        words, flat, ends = self.words, self.flat, self.ends
+        for at, chunk in enumerate(chunks):
             text = chunk.decode()
-            match = plain(text.lower())
-            if not match:
-                odd.append((chunk, text))
-                continue
-            word, stops = match.groups()
-            ids = self._word(word)
-            if chunk not in self.codes:
-                self._add(chunk, ids, self._word(stops)) if stops else self._add(chunk, ids)
+            low = text.lower()
+            word = low.rstrip(".,")
+            code = words.get(word)
+            if code is None:
+                # Known words are plain by themselves; others are looked at once.
+                if not plain(low):
+                    odd.append((at, text))
+                    out.append(0)
+                    continue
+                code = self._word(word)
+            stops = low[len(word) :]
+            if stops:
+                if stops not in self.stops:
+                    self.stops[stops] = array("I", [t.id for t in self.model.tokenize(stops)])
+                code = self._add(flat[ends[code] : ends[code + 1]] + self.stops[stops])
+            out.append(code)
         found = self.tokenizer.encode_batch_fast([t for _, t in odd], add_special_tokens=False) if odd else []
-        for (chunk, _), e in zip(odd, found, strict=True):
-            if chunk not in self.codes:
-                self._add(chunk, e.ids)
+        for (at, _), e in zip(odd, found, strict=True):
+            out[at] = self._add(e.ids)
+        self.codes.update(zip(chunks, out, strict=True))
+        return out
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
-        chunks: list[bytes] = []
-        ends = [0]
-        for t in texts:
-            if t:
-                chunks += t.encode("utf-8", "replace").split()
-            ends.append(len(chunks))
-        new = set(chunks).difference(self.codes)
+        if not isinstance(texts, pa.Array):
+            texts = pa.array([t and t.encode("utf-8", "replace").decode() for t in texts], pa.large_string())
+        # Only the distinct chunks of a piece become Python objects.
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        chunks = split.flatten().dictionary_encode()
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        distinct = chunks.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        code = [*map(self.codes.get, distinct)]
+        new = [i for i, c in enumerate(code) if c is None]
         if len(self.codes) + len(new) > CACHE:
             self._clear()
-            new = set(chunks)
-        self._learn(new)
-        code = np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks))
+            code = self._learn(distinct)
+        else:
+            for i, c in zip(new, self._learn([distinct[i] for i in new]), strict=True):
+                code[i] = c
+        code = np.array(code, np.int64)[chunks.indices.to_numpy()]
         bounds = np.array(self.ends)
         start, size = bounds[code], np.diff(bounds)[code]
         after = np.concatenate([[0], np.cumsum(size)])
         at = np.repeat(start - after[:-1], size) + np.arange(after[-1])
-        return np.array(self.flat, np.uint32)[at], np.diff(after[np.array(ends)])
+        return np.array(self.flat, np.uint32)[at], np.diff(after[ends])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -127,12 +140,12 @@ def encoder(vocabulary: str = VOCABULARY) -> Encoder:
     return _encoders[vocabulary]
 
 
-def encoded(batch: pa.RecordBatch, vocabulary: str, most: int = 1_500_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def encoded(batch: pa.RecordBatch, vocabulary: str, most: int = 4_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Pieces of a batch with columns doc_id and text: first row, row after the last, ids, ids per text."""
     texts = batch.column("text")
-    bytes_of = np.diff(np.frombuffer(texts.cast(pa.large_string()).buffers()[1], np.int64)[texts.offset :][: len(texts) + 1])
+    bytes_of = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     for a, b in slices(bytes_of.tolist(), most):
-        ids, counts = encoder(vocabulary).encode(texts.slice(a, b - a).to_pylist())
+        ids, counts = encoder(vocabulary).encode(texts.slice(a, b - a))
         yield a, b, ids, counts
 
 
