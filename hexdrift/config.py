@@ -39,3 +39,13 @@ CORE_TARGET, CORE_LOW, CORE_HIGH = 0.35, 0.18, 0.60
 GRACE_DAYS = 90
 MIN_TESTS = 3
 FIXTURE_STATE = "90"
+#: Site inference: peaks, lobes of several sectors, lobe reach, kinds of sites.
+DEPTH_CAP, PEAK_DEPTH, PROMINENCE_RINGS = 40, 2.0, 3.0
+SPLIT_RANGE_DB, PEAK_RANGE_DB, PROMINENCE_DB = 5.0, 10.0, 3.0
+LARGE_BLOB_CELLS, LARGE_BLOB_M = 4000, 2000.0
+PETAL_MIN_M, PETAL_MAX_M = 1500.0, 10_000.0
+SECTOR_BINS = 18
+SECTOR_CELLS = {2: 18, 3: 24}
+SECTOR_SHARE = {2: (0.18, 0.80), 3: (0.28, 0.90)}
+LOBE_FALLBACK, LOBE_CELLS = 2.5, 3
+NEW_CELLS, GROWTH = 2, 0.20

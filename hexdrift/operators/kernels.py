@@ -47,12 +47,26 @@ def assign(cost: np.ndarray) -> np.ndarray:
     return out
 
 
+def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Part of each pair (a, b): pairs that share an ``a`` or a ``b``, directly or by others, are one part."""
+    part = a.copy()
+    while True:
+        left, right = np.full(a.max() + 1, len(a)), np.full(b.max() + 1, len(a))
+        np.minimum.at(right, b, part)
+        np.minimum.at(left, a, right[b])
+        low = left[a]
+        if (low == part).all():
+            return part
+        part = low
+
+
 def match_sites(current: DataFrame, prior: DataFrame, radius: float) -> DataFrame:
     """One-to-one matches (provider_id, site_id, prior_id, dist_m) within ``radius``.
 
     Candidates are the eight nearest prior sites of each current one, found by
     the bucketed join; what is out of reach costs ten radii.
-    Units are split where no candidate joins them, so a task holds one provider's sites.
+    A task holds the candidate pairs of one provider, at most eight a site. They are
+    solved apart wherever no candidate joins them, so a cost matrix has the sites of one such part.
     """
     from pyspark.sql import Window as W
 
@@ -64,46 +78,19 @@ def match_sites(current: DataFrame, prior: DataFrame, radius: float) -> DataFram
 
     def kernel(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values(["site_id", "prior_id"])
-        rows, cols = np.unique(df.site_id), np.unique(df.prior_id)
-        cost = np.full((len(rows), len(rows) + len(cols)), 10 * radius)
-        cost[np.searchsorted(rows, df.site_id), np.searchsorted(cols, df.prior_id)] = df.dist_m
-        pick = assign(cost)
-        found = [(df.provider_id.iloc[0], int(rows[i]), int(cols[j]), float(cost[i, j])) for i, j in enumerate(pick) if j < len(cols) and cost[i, j] <= radius]
+        part = linked(*(np.unique(c, return_inverse=True)[1] for c in (df.site_id, df.prior_id)))
+        found = []
+        for _, one in df.groupby(part, sort=True):
+            rows, cols = np.unique(one.site_id), np.unique(one.prior_id)
+            cost = np.full((len(rows), len(rows) + len(cols)), 10 * radius)
+            cost[np.searchsorted(rows, one.site_id), np.searchsorted(cols, one.prior_id)] = one.dist_m
+            pick = assign(cost)
+            found += [(one.provider_id.iloc[0], int(rows[i]), int(cols[j]), float(cost[i, j])) for i, j in enumerate(pick) if j < len(cols) and cost[i, j] <= radius]
         return pd.DataFrame(found, columns=["provider_id", "site_id", "prior_id", "dist_m"])
 
     return pairs.groupBy("provider_id").applyInPandas(kernel, "provider_id int, site_id long, prior_id long, dist_m double")
 
 
-def infer_sites(core: DataFrame, min_cells: int = 8, spacing: int = 3) -> DataFrame:
-    """Sites of each unit from its core cells: strongest cells first, none within ``spacing`` rings of another,
-    every cell to its nearest peak; peaks that gather fewer than ``min_cells`` are left out.
-
-    Rows (provider_id, technology, cell, signal_dbm) in; (provider_id, technology,
-    site_id, n_hexes, reach, max_signal_dbm, mean_signal_dbm) out, reach in rings.
-    """
-
-    def kernel(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["signal_dbm", "cell"], ascending=[False, True])
-        cell = df.cell.to_numpy()
-        q, r, s = cell % 50, cell // 50, df.signal_dbm.to_numpy()
-        free, peaks = np.ones(len(cell), bool), []
-        rings = lambda k: (np.abs(q - q[k]) + np.abs(r - r[k]) + np.abs(q + r - q[k] - r[k])) // 2
-        for k in range(len(cell)):
-            if free[k]:
-                peaks.append(k)
-                free &= rings(k) > spacing
-        away = np.stack([rings(k) for k in peaks])
-        own = away.argmin(axis=0)
-        out = []
-        for i, k in enumerate(peaks):
-            held = own == i
-            if held.sum() >= min_cells:
-                out.append((*df[UNIT].iloc[0], int(cell[k]), int(held.sum()), int(away[i][held].max()), float(s[k]), float(s[held].mean())))
-        return pd.DataFrame(out, columns=[*UNIT, "site_id", "n_hexes", "reach", "max_signal_dbm", "mean_signal_dbm"])
-
-    return core.groupBy(*UNIT).applyInPandas(kernel, "provider_id int, technology string, site_id long, n_hexes int, reach int, max_signal_dbm double, mean_signal_dbm double")
-
-
 def bootstrap(rows: DataFrame, draws: int = 200, seed: int = 42) -> DataFrame:
     """95 % interval of precision and recall of (label, flag) rows over ``draws`` resamples.
 

@@ -7,8 +7,11 @@ from itertools import product
 from pyspark.sql import functions as F
 
 from ..functions import geo as G
+from ..operators import inference as I
 from ..operators import kernels as K
+from ..operators import layers as L
 from ..operators import score as S
+from ..operators.spatial import near
 from ..sources import model as M
 from . import coverage, validation
 
@@ -104,7 +107,50 @@ def _(spark, d):
 
 @query("t15_infer_sites")
 def _(spark, d):
-    return K.infer_sites(coverage.core(spark, d))
+    return I.infer_sites(coverage.change(spark, d))
+
+
+@query("t16_joint_classes")
+def _(spark, d):
+    """Inferred sites of both vintages with their kind; of those of the prior one alone, too."""
+    sites = I.infer_sites(coverage.change(spark, d))
+    return sites.select("provider_id", "technology", "site_id", "home", "n_prior", "n_current", I.site_class().alias("site_class"))
+
+
+@query("t17_site_class", SQL + """SELECT provider_id, technology, county_geoid, CASE WHEN current_hexes <= 0 THEN 'prior_only' WHEN prior_hexes <= 2 THEN 'new_site'
+WHEN (current_hexes - prior_hexes) / CAST(greatest(prior_hexes, 1) AS DOUBLE) >= 0.2 THEN 'expanded_site' ELSE 'stable_site' END AS site_class FROM rollup0""")
+def _(spark, d):
+    """The rules of the kind of a site, over what the two vintages have in each county."""
+    c = coverage.county(spark, d).withColumnsRenamed({"prior_hexes": "n_prior", "current_hexes": "n_current"})
+    return c.select("provider_id", "technology", "county_geoid", I.site_class().alias("site_class"))
+
+
+@query("t21_lobe_census")
+def _(spark, d):
+    return I.infer_sites(coverage.change(spark, d)).groupBy("provider_id", "technology", "sectors").agg(F.count(F.lit(1)).alias("sites"))
+
+
+@query("t2_flat_rollup", SQL + """, p AS (SELECT provider_id, technology, cell, signal_dbm, (3 * q + r) / 7e0 AS a, (2 * r - q) / 7e0 AS b FROM layer JOIN cells USING (cell) WHERE vintage = 'current'),
+n AS (SELECT *, round(a) AS x, round(b) AS y, round(-a - b) AS z FROM p),
+m AS (SELECT *, abs(x - a) AS dx, abs(y - b) AS dy, abs(z + a + b) AS dz FROM n)
+SELECT provider_id, technology, CAST(CASE WHEN dx > dy AND dx > dz THEN -y - z ELSE x END AS INT) AS u, CAST(CASE WHEN NOT (dx > dy AND dx > dz) AND dy > dz THEN -x - z ELSE y END AS INT) AS v,
+arg_max(cell, (signal_dbm, -cell)) AS seed, max(signal_dbm) AS signal_dbm, count(*) AS n FROM m GROUP BY ALL""")
+def _(spark, d):
+    return I.rolled_up(M.with_geo(L.strongest(M.observations(spark, d).where("vintage = 'current'"), [*L.UNIT, "cell"]), "q", "r"))
+
+
+@query("t22_footprint_recall", SQL + """, covered AS (SELECT DISTINCT x_m, y_m FROM change WHERE signal_current IS NOT NULL),
+inside AS (SELECT m.* FROM mast m WHERE EXISTS (SELECT 1 FROM covered c WHERE round(sqrt(pow(m.x_m - c.x_m, 2) + pow(m.y_m - c.y_m, 2)), 3) <= 2500)),
+met AS (SELECT i.mast_id FROM inside i WHERE EXISTS (SELECT 1 FROM site s WHERE round(sqrt(pow(i.x_m - s.x_m, 2) + pow(i.y_m - s.y_m, 2)), 3) <= 2000))
+SELECT (SELECT count(*) FROM inside) AS inside, (SELECT count(*) FROM met) AS met, CASE WHEN (SELECT count(*) FROM inside) > 0 THEN round((SELECT count(*) FROM met) / CAST((SELECT count(*) FROM inside) AS DOUBLE), 6) END AS recall""")
+def _(spark, d):
+    """Masts within 2.5 km of coverage, and how many of them have a site within 2 km."""
+    masts = M.masts(spark, d).select("mast_id", "x_m", "y_m")
+    cells = coverage.change(spark, d).where("signal_current IS NOT NULL").select("x_m", "y_m").distinct()
+    inside = near(masts, cells, 2500.0, []).select("mast_id").distinct()
+    met = near(masts, M.sites(spark, d).select("x_m", "y_m"), 2000.0, []).select("mast_id").distinct().withColumn("hit", F.lit(1))
+    counts = inside.join(met, "mast_id", "left").agg(F.count(F.lit(1)).alias("inside"), F.count("hit").alias("met"))
+    return counts.select("inside", "met", F.round(F.col("met") / F.nullif(F.col("inside"), F.lit(0)), 6).alias("recall"))
 
 
 @query("j14_site_assignment")
