@@ -199,24 +199,23 @@ def join_sectors(peaks: list[int], x: np.ndarray, y: np.ndarray, core: np.ndarra
         return peaks
     p = np.column_stack([x[peaks], y[peaks]])
     every, strong, among = Squares(x, y), Squares(x[core], y[core]), Squares(p[:, 0], p[:, 1], C.PETAL_MAX_M)
-    mates = [[j for j in among.within(*p[i], C.PETAL_MAX_M) if j > i] for i in range(len(p))]
+    mates = [(n := among.within(*p[i], C.PETAL_MAX_M))[n > i] for i in range(len(p))]
     triples = []
     for i, near in enumerate(mates):
-        for a, j in enumerate(near):
-            for k in near[a + 1 :]:
-                t = p[[i, j, k]]
-                side = np.sort(np.hypot(*(t - t[[1, 2, 0]]).T))
-                if side[0] < C.PETAL_MIN_M or side[2] > C.PETAL_MAX_M or side[2] > 1.85 * side[0]:
-                    continue
-                hub = t.mean(axis=0)
-                angle = np.sort(np.arctan2(*(t - hub).T[::-1]))
-                gap = np.degrees(np.diff(angle, append=angle[0] + 2 * np.pi))
-                radius = np.hypot(*(t - hub).T).mean()
-                if gap.min() < 70 or gap.max() > 165:
-                    continue
-                held = strong.within(*hub, radius * 1.40)
-                if sectors(strong.x[held], strong.y[held], *hub, radius * 0.15, radius * 1.40, 3):
-                    triples.append((radius, (i, j, k), hub))
+        # All triples of one peak with later ones; few pass the bounds on sides and angles.
+        j, k = (near[t] for t in np.triu_indices(len(near), 1))
+        t = np.stack([np.broadcast_to(p[i], (len(j), 2)), p[j], p[k]], axis=1)
+        side = np.sort(np.hypot(*np.moveaxis(t - t[:, [1, 2, 0]], 2, 0)), axis=1)
+        hubs = t.mean(axis=1)
+        out_x, out_y = np.moveaxis(t - hubs[:, None], 2, 0)
+        angle = np.sort(np.arctan2(out_y, out_x), axis=1)
+        gap = np.degrees(np.diff(angle, axis=1, append=angle[:, :1] + 2 * np.pi))
+        fits = (side[:, 0] >= C.PETAL_MIN_M) & (side[:, 2] <= C.PETAL_MAX_M) & (side[:, 2] <= 1.85 * side[:, 0]) & (gap.min(axis=1) >= 70) & (gap.max(axis=1) <= 165)
+        for n in np.flatnonzero(fits):
+            hub, radius = hubs[n], float(np.hypot(out_x[n], out_y[n]).mean())
+            held = strong.within(*hub, radius * 1.40)
+            if sectors(strong.x[held], strong.y[held], *hub, radius * 0.15, radius * 1.40, 3):
+                triples.append((radius, (i, int(j[n]), int(k[n])), hub))
     used, out = np.zeros(len(p), bool), []
     for radius, of, hub in sorted(triples, key=lambda t: -t[0]):
         if not used[list(of)].any():
