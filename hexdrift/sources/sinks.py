@@ -18,6 +18,17 @@ def write_scored(df: DataFrame, path: str, batch_ts: str, states: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_ts").parquet(path)
 
 
+def write_states(df: DataFrame, path: str, batch_ts: str) -> None:
+    """Coverage of a batch by state: states in ``df`` are replaced, others stay.
+
+    Rows without a state go under Hive's default partition. The manifest, a row a
+    state with its rows and batch, is written once the data are there, so a state it lists is whole.
+    """
+    df.withColumn("batch_ts", F.lit(batch_ts)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("state_fips").parquet(f"{path}/coverage")
+    rows = df.groupBy("state_fips").agg(F.count(F.lit(1)).alias("n")).withColumn("batch_ts", F.lit(batch_ts))
+    rows.withColumn("state", F.col("state_fips")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("state_fips").json(f"{path}/manifest")
+
+
 def write_ranking(df: DataFrame, path: str) -> None:
     """The ranking as one CSV file with a header; it has a row a unit and county."""
     df.orderBy("rank").coalesce(1).write.mode("overwrite").option("header", True).csv(path)

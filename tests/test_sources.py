@@ -74,3 +74,14 @@ def test_assignment_is_optimal():
 def test_summary(spark):
     df = spark.createDataFrame([(1, 0, "N", "00001", 0.5, True, "why")], "rank int, provider_id int, technology string, county_geoid string, priority_score double, flag_for_review boolean, flag_reason string")
     assert "| 1 | 0 | N | 00001 | 0.500 | why |" in sinks.summary(df) and "INCOMPLETE" in sinks.summary(df, 1)
+
+
+def test_states_are_replaced_one_by_one(spark, tmp_path):
+    path = f"file://{tmp_path}/batches"
+    schema = "state_fips string, cell long, signal_dbm double"
+    sinks.write_states(spark.createDataFrame([("01", 1, -80.0), ("01", 2, -81.0), ("02", 3, -82.0), (None, 4, -83.0)], schema), path, "b1")
+    sinks.write_states(spark.createDataFrame([("01", 9, -90.0)], schema), path, "b2")
+    sinks.write_states(spark.createDataFrame([], schema), path, "b3")
+    read = spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    assert sorted((r.cell, r.batch_ts) for r in read.parquet(f"{path}/coverage").collect()) == [(3, "b1"), (4, "b1"), (9, "b2")]
+    assert sorted((r.state or "", r.n, r.batch_ts) for r in read.json(f"{path}/manifest").collect()) == [("", 1, "b1"), ("01", 1, "b2"), ("02", 1, "b1")]
