@@ -221,7 +221,9 @@ _POINTS = [("added_frac_of_county", "c1"), ("coverage_increase_magnitude", "c2")
 @query("c4_flag_math", coverage.SQL + " UNION ALL ".join(f"SELECT provider_id, technology, county_geoid, '{n}' AS feature, round({'0e0' if n == 'asr_no_new_structure' else n}, 3) AS value, round({c}, 4) AS points FROM scored" for n, c in _POINTS))
 def _(spark, d):
     """What each feature adds to the score, a row for each."""
-    parts = F.array(*[F.struct(F.lit(n).alias("feature"), F.round(F.col(n).cast("double"), 3).alias("value"), F.round(f"score_contribution_{n}", 4).alias("points")) for n in S.contributions()])
+    # SQL rounds the scaled double (0.0585 less one ulp becomes 58.5, then 59); F.round with digits rounds its decimal form.
+    near = lambda c, scale: F.round(c.cast("double") * scale) / scale
+    parts = F.array(*[F.struct(F.lit(n).alias("feature"), near(F.col(n), 1e3).alias("value"), near(F.col(f"score_contribution_{n}"), 1e4).alias("points")) for n in S.contributions()])
     return coverage.scored(spark, d).select("provider_id", "technology", "county_geoid", F.explode(parts).alias("p")).select("provider_id", "technology", "county_geoid", "p.*")
 
 
