@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -10,7 +11,7 @@ import pytest
 from conftest import same_rows
 
 from hexdrift.llm import decontamination, exact_dedup, hilbert_shards, licenses, line_dedup, packing, queries, simhash, tokens, toxicity, warc
-from hexdrift.llm.common import fresh_dir, words
+from hexdrift.llm.common import cut, fresh_dir, words
 
 LONG = "long text with many words and lines\n" * 9000
 TEXTS = [None, "", "a", "A", "  ", "same words here", "same words here", "same words here", LONG, "é ÀÇ <|endoftext|> don't 42", "x" * 50_000, "one two three\nfour five six\n", None]
@@ -798,3 +799,20 @@ def test_pipeline_by_brute_force(spark, tmp_path, monkeypatch):
     want = [clean[i] for i in _kept_by_brute_force(clean, labels, [(1, item)])]
     assert Counter((r.doc_id, r.length) for r in got) == Counter((d, len(_ids(t or "", 0))) for d, t in want)
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    """What was shuffled for a table that is written goes with the query; it lay there until the garbage collector came."""
+
+    def files():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        names = (held.apply(i).toString() for i in range(held.size()))
+        return {x for x in names if x.startswith("shuffle_") and x.endswith(".data")}
+
+    before = files()
+    table = cut(spark.range(1000).repartition(4, "id"), "test-cut")
+    until = time.time() + 5
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before
+    assert table.count() == 1000
