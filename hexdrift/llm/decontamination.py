@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import cut, documents, slices, text_column, words
+from .common import cut, documents, lean, slices, text_column, words
 
 SIMILARITY = 0.8
 WALKS, TABLES, SAMPLES = 8, 14, 3
@@ -274,7 +274,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
                 cols = zip(*rows, strict=True) if rows else [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)], ["doc_id", "item_id", "distance", "n_words", "first_word"])
 
-        return slim.mapInArrow(run, schema)
+        return slim.mapInArrow(lean(run), schema)
 
     hits = _by_block(benchmark, similarity, walks, samples, look, "contaminated", False)
     best = hits.groupBy("doc_id", "item_id", "n_words").agg(F.min(F.struct("distance", "first_word")).alias("b"))
@@ -302,7 +302,7 @@ def uncontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
 
         frame = docs if kept is None else kept
         packed = frame.select(text_column(frame).alias("text"), F.struct(*[frame[f"`{c}`"] for c in names]).alias("row"))
-        rows = packed.mapInArrow(run, StructType([packed.schema["row"]]))
+        rows = packed.mapInArrow(lean(run), StructType([packed.schema["row"]]))
         return rows.select(*[F.col("row").getField(c).alias(c) for c in names])
 
     return _by_block(benchmark, similarity, WALKS, SAMPLES, look, "clean", True)

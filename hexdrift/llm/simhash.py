@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, documents, keep_rows, row_key, text_column
+from .common import cut, documents, keep_rows, lean, row_key, text_column
 
 SEED = 42
 STRATA = 8
@@ -100,7 +100,7 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
             found = [fingerprint(list(shingle_hashes(t.as_py(), size))) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], ["doc", "fp"])
 
-    return docs.select(_doc(docs).alias("doc"), text_column(docs).alias("text")).mapInArrow(run, "doc bigint, fp bigint")
+    return docs.select(_doc(docs).alias("doc"), text_column(docs).alias("text")).mapInArrow(lean(run), "doc bigint, fp bigint")
 
 
 # --- bit-sliced comparison ---------------------------------------------------
@@ -268,7 +268,7 @@ def _block_edges(members: DataFrame, radius: int) -> DataFrame:
             on = np.flatnonzero(forest.root != np.arange(len(node)))
             yield pa.RecordBatch.from_arrays([pa.array(node[on]), pa.array(node[forest.root[on]])], ["u", "v"])
 
-    return members.mapInArrow(run, "u bigint, v bigint")
+    return members.mapInArrow(lean(run), "u bigint, v bigint")
 
 
 def fingerprint_edges(nodes: DataFrame, radius: int, most: int = MOST_MEMBERS) -> DataFrame:
@@ -341,7 +341,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["doc", "key", "fp", "same", "least", "size", "bins", "shingles"])
 
     slim = docs.select(_doc(docs).alias("doc"), row_key(docs).alias("key"), text_column(docs).alias("text"))
-    rows = slim.mapInArrow(run, "doc bigint, key binary, fp bigint, same binary, least array<bigint>, size int, bins binary, shingles binary")
+    rows = slim.mapInArrow(lean(run), "doc bigint, key binary, fp bigint, same binary, least array<bigint>, size int, bins binary, shingles binary")
     return rows.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -454,7 +454,7 @@ def _alike(blocks: DataFrame, threshold: float, radius: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(left), name)), pa.array(left)], ["block", "node"])
 
     dealt = blocks.select("block", "node", "fp", "size", "bins").repartition("block").sortWithinPartitions("block", "node")
-    return dealt.mapInArrow(run, "block bigint, node bigint").distinct()
+    return dealt.mapInArrow(lean(run), "block bigint, node bigint").distinct()
 
 
 def _leader_edges(members: DataFrame, sets: DataFrame, threshold: float, most: int) -> DataFrame:
@@ -491,7 +491,7 @@ def _leader_edges(members: DataFrame, sets: DataFrame, threshold: float, most: i
 
     dealt = first.unionByName(led.select("leader", "part", "node", "shingles")).repartition("leader", "part")
     ordered = dealt.sortWithinPartitions("leader", "part", F.col("node").asc_nulls_first())
-    return ordered.select("leader", "node", "shingles").mapInArrow(run, "u bigint, v bigint")
+    return ordered.select("leader", "node", "shingles").mapInArrow(lean(run), "u bigint, v bigint")
 
 
 def _rest(members: DataFrame) -> DataFrame:
@@ -548,7 +548,7 @@ def similar_edges(nodes: DataFrame, sets: DataFrame, threshold: float, radius: i
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     grouped = loaded.select("block", "node", "fp", "bins", "shingles").repartition("block").sortWithinPartitions("block", "node")
-    edges = grouped.mapInArrow(run, "u bigint, v bigint")
+    edges = grouped.mapInArrow(lean(run), "u bigint, v bigint")
     return edges if led is None else edges.unionByName(led)
 
 

@@ -7,11 +7,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import same_rows
 
 from hexdrift.llm import decontamination, exact_dedup, hilbert_shards, licenses, line_dedup, packing, queries, simhash, tokens, toxicity, warc
-from hexdrift.llm.common import cut, fresh_dir, words
+from hexdrift.llm.common import cut, fresh_dir, lean, words
 
 LONG = "long text with many words and lines\n" * 9000
 TEXTS = [None, "", "a", "A", "  ", "same words here", "same words here", "same words here", LONG, "é ÀÇ <|endoftext|> don't 42", "x" * 50_000, "one two three\nfour five six\n", None]
@@ -883,3 +884,21 @@ def test_cut_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert not files() - before
     assert table.count() == 1000
+
+
+def test_lean_gives_memory_back():
+    """A worker that waits for its next task holds none of what its last one freed."""
+    import psutil
+
+    rss, held, batch = psutil.Process().memory_info, [], pa.RecordBatch.from_arrays([pa.array([1])], ["x"])
+
+    def run(batches):
+        for b in batches:
+            own = [np.ones(8000) for _ in range(3000)]
+            held.extend(own[::100])  # what stays lies between what goes
+            del own
+            yield b
+
+    before = rss().rss
+    assert list(lean(run)([batch])) == [batch]
+    assert rss().rss - before < 60e6 and len(held) == 30
