@@ -10,6 +10,7 @@ from ..functions import geo as G
 from ..operators import inference as I
 from ..operators import kernels as K
 from ..operators import layers as L
+from ..operators import rings as R
 from ..operators import score as S
 from ..operators.spatial import near
 from ..sources import model as M
@@ -73,7 +74,7 @@ edges AS (SELECT a.county_geoid, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS b_y FRO
 
 @query("g4_county_area_shoelace", SQL + ", " + _RING + "SELECT county_geoid, round(abs(sum(ax * b_y - bx * ay)) / 2 / 1e6, 6) AS km2 FROM edges GROUP BY county_geoid")
 def _(spark, d):
-    return rings(spark, d).select("county_geoid", F.round(G.area(F.col("ring")) / 1e6, 6).alias("km2"))
+    return R.areas(M.cells(spark, d)).select("county_geoid", F.round("km2", 6).alias("km2"))
 
 
 _INSIDE = "count(*) FILTER (WHERE (ay > m.y_m) <> (b_y > m.y_m) AND m.x_m < (bx - ax) * (m.y_m - ay) / (b_y - ay) + ax)"
