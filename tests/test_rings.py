@@ -29,3 +29,7 @@ def _check(spark, far, name):
 
 def test_area_of_codes_with_several_counties(spark, far):
     _check(spark, far, "g4_county_area_shoelace")
+
+
+def test_masts_in_codes_with_several_counties(spark, far):
+    _check(spark, far, "j8_point_in_polygon")
