@@ -1,4 +1,4 @@
-"""Geometry as column expressions: Albers projection, polygons as arrays of points."""
+"""Geometry as column expressions: Albers projection."""
 
 from __future__ import annotations
 
@@ -50,33 +50,3 @@ def inverse_albers(x: Column, y: Column, steps: int = 5) -> tuple[Column, Column
         * (q / (1 - ECC2) - F.sin(p) / (1 - ECC2 * F.pow(F.sin(p), 2)) + F.log((1 - ECC * F.sin(p)) / (1 + ECC * F.sin(p))) / (2 * ECC)),
     )
     return F.degrees(lat), F.degrees(LON0 + theta / N)
-
-
-def _edges(ring: Column) -> Column:
-    """Pairs (a, b) of consecutive points of a closed ring of structs (x, y)."""
-    after = F.concat(F.slice(ring, 2, F.size(ring) - 1), F.slice(ring, 1, 1))
-    return F.arrays_zip(ring.alias("a"), after.alias("b"))
-
-
-def area(ring: Column) -> Column:
-    """Area of a ring by the shoelace formula."""
-    twice = F.aggregate(_edges(ring), F.lit(0.0), lambda s, e: s + e["a"]["x"] * e["b"]["y"] - e["b"]["x"] * e["a"]["y"])
-    return F.abs(twice) / 2
-
-
-def contains(ring: Column, x: Column, y: Column) -> Column:
-    """Whether a point is inside a ring: a ray to the right crosses it an odd number of times."""
-    crossed = lambda e: ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & (x < (e["b"]["x"] - e["a"]["x"]) * (y - e["a"]["y"]) / F.nullif(e["b"]["y"] - e["a"]["y"], F.lit(0.0)) + e["a"]["x"])
-    return F.size(F.filter(_edges(ring), crossed)) % 2 == 1
-
-
-def edge_distance(ring: Column, x: Column, y: Column) -> Column:
-    """Distance of a point to the nearest edge of a ring."""
-
-    def one(e: Column) -> Column:
-        dx, dy = e["b"]["x"] - e["a"]["x"], e["b"]["y"] - e["a"]["y"]
-        t = ((x - e["a"]["x"]) * dx + (y - e["a"]["y"]) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(t, F.lit(0.0))))
-        return F.hypot(x - e["a"]["x"] - t * dx, y - e["a"]["y"] - t * dy)
-
-    return F.array_min(F.transform(_edges(ring), one))

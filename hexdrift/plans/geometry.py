@@ -58,13 +58,6 @@ def _(spark, d):
     return _latlon(spark, d).select("s_suppkey", x.alias("x"), y.alias("y")).select("s_suppkey", F.round(lat, 5).alias("lat"), F.round(lon, 5).alias("lon"))
 
 
-def rings(spark, d):
-    """county_geoid and the parallelogram of its block of cells, a ring of points."""
-    c = M.cells(spark, d).select("county_geoid", (F.floor(F.col("q") / 10) * 10).alias("q0"), (F.floor(F.col("r") / 10) * 10).alias("r0")).distinct()
-    at = lambda q, r: F.struct((F.lit(M.SIDE_M * M.ROOT3) * (F.col("q0") + F.lit(q) + (F.col("r0") + F.lit(r)) / F.lit(2.0))).alias("x"), (F.lit(M.SIDE_M * 1.5) * (F.col("r0") + F.lit(r))).alias("y"))
-    return c.select("county_geoid", F.array(at(-0.5, -0.5), at(9.5, -0.5), at(9.5, 9.5), at(-0.5, 9.5)).alias("ring"))
-
-
 _RING = f"""rings AS (SELECT county_geoid, q0, r0, [[-0.5, -0.5], [9.5, -0.5], [9.5, 9.5], [-0.5, 9.5]] AS o
   FROM (SELECT DISTINCT county_geoid, q // 10 * 10 AS q0, r // 10 * 10 AS r0 FROM cells)),
 pts AS (SELECT county_geoid, i, {M.SIDE_M * M.ROOT3!r}::DOUBLE * (q0 + o[i][1] + (r0 + o[i][2]) / 2.0::DOUBLE) AS x, {M.SIDE_M * 1.5!r}::DOUBLE * (r0 + o[i][2]) AS y FROM rings, (SELECT unnest([1, 2, 3, 4]) AS i)),
@@ -88,8 +81,7 @@ def _(spark, d):
 @query("a10_edge_distance", SQL + ", " + _RING + """SELECT cell, round(min(sqrt(pow(x_m - ax - t * (bx - ax), 2) + pow(y_m - ay - t * (b_y - ay), 2))), 3) AS dist_m FROM (
 SELECT c.cell, c.x_m, c.y_m, e.*, greatest(0e0, least(1e0, ((x_m - ax) * (bx - ax) + (y_m - ay) * (b_y - ay)) / ((bx - ax) * (bx - ax) + (b_y - ay) * (b_y - ay)))) AS t FROM cells c JOIN edges e USING (county_geoid)) GROUP BY cell""")
 def _(spark, d):
-    c = M.cells(spark, d).select("cell", "county_geoid", "x_m", "y_m")
-    return c.join(rings(spark, d), "county_geoid").select("cell", F.round(G.edge_distance(F.col("ring"), F.col("x_m"), F.col("y_m")), 3).alias("dist_m"))
+    return R.edge_distances(M.cells(spark, d))
 
 
 @query("t8_sector_histogram", SQL + "SELECT CAST(floor((atan2(y_m - 20000, x_m - 20000) + pi()) / (2 * pi()) * 18) AS INT) % 18 AS bin, count(*) AS n FROM cells GROUP BY 1")

@@ -33,3 +33,7 @@ def test_area_of_codes_with_several_counties(spark, far):
 
 def test_masts_in_codes_with_several_counties(spark, far):
     _check(spark, far, "j8_point_in_polygon")
+
+
+def test_edge_distance_in_codes_with_several_counties(spark, far):
+    _check(spark, far, "a10_edge_distance")
