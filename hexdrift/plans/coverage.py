@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -407,12 +408,30 @@ def _unit_cells(spark: SparkSession, d: str) -> DataFrame:
     return layer.where("signal_dbm >= -75")
 
 
+#: Rows of cells in a strip whose blobs one kernel call finds.
+STRIP = 256
+
+
+def _local(cells: DataFrame) -> DataFrame:
+    """Least cell of each cell's blob within its strip of a unit."""
+    from ..operators.inference import Grid
+
+    def kernel(df):
+        df = df.sort_values("cell")
+        cell = df.cell.to_numpy()
+        label = cell[Grid(cell % 50, cell // 50).blobs(np.ones(len(cell), bool))]
+        return df[[*UNIT, "cell"]].assign(label=label)
+
+    strip = F.floor(F.col("cell") / (50 * STRIP)).alias("strip")
+    return cells.select(*UNIT, "cell").groupBy(*UNIT, strip).applyInPandas(kernel, "provider_id int, technology string, cell long, label long")
+
+
 def components(cells: DataFrame) -> DataFrame:
-    """Least cell of the connected blob of each cell, by label propagation with pointer jumping.
+    """Least cell of the connected blob of each cell: blobs of strips by a kernel, then these joined where strips meet.
 
-    Each round takes the least label around and then that label's own label, so
-    rounds grow with the logarithm of a blob's diameter. Lineage is cut by
-    checkpoint() every round.
+    The parts of a blob are joined by label propagation with pointer jumping over the
+    few that touch a strip's end. Each round takes the least label around and then that label's own label, so
+    rounds grow with the logarithm of the strips that a blob crosses. Lineage is cut by checkpoint() every round.
     """
     spark = cells.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -421,8 +440,20 @@ def components(cells: DataFrame) -> DataFrame:
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hexdrift-"))
-    edges = _edges(cells).checkpoint()
-    label = cells.select(*UNIT, "cell", F.col("cell").alias("label")).checkpoint()
+    part = _local(cells).checkpoint()
+    row = F.floor(F.col("cell") / 50) % STRIP
+    ends = part.where((row == 0) | (row == STRIP - 1))
+    across = _edges(ends.select(*UNIT, "cell")).where(F.floor(F.col("cell") / (50 * STRIP)) != F.floor(F.col("other") / (50 * STRIP)))
+    named = across.join(ends.select(*UNIT, "cell", F.col("label").alias("a")), [*UNIT, "cell"]).join(ends.select(*UNIT, F.col("cell").alias("other"), F.col("label").alias("b")), [*UNIT, "other"])
+    edges = named.select(*UNIT, F.col("a").alias("cell"), F.col("b").alias("other")).distinct().checkpoint()
+    joined = _propagated(edges.select(*UNIT, "cell").distinct(), edges)
+    found = joined.select(*UNIT, F.col("cell").alias("label"), F.col("label").alias("least"))
+    return part.join(found, [*UNIT, "label"], "left").select(*UNIT, "cell", F.coalesce("least", "label").alias("label"))
+
+
+def _propagated(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Least cell that each of ``nodes`` is joined to by ``edges``, which have both ways."""
+    label = nodes.select(*UNIT, "cell", F.col("cell").alias("label")).checkpoint()
     while True:
         around = edges.join(label.withColumnRenamed("cell", "other"), [*UNIT, "other"]).groupBy(*UNIT, "cell").agg(F.min("label").alias("m"))
         low = label.join(around, [*UNIT, "cell"], "left").select(*UNIT, "cell", F.least("label", F.coalesce("m", "label")).alias("label"), F.col("label").alias("old"))
