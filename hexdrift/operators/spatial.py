@@ -33,6 +33,21 @@ def near(left: DataFrame, right: DataFrame, radius: float, keys: list[str]) -> D
     return met.where(F.col("dist_m") <= radius).drop("_bx", "_by", "_x", "_y")
 
 
+def close_pairs(points: DataFrame, radius: float) -> DataFrame:
+    """Pairs a < b of ``id`` whose x_m, y_m are less than ``radius`` apart, each once.
+
+    A point stands in its own bucket and in four around it, so two buckets meet from one side only.
+    """
+    at = points.select("id", "x_m", "y_m", F.floor(F.col("x_m") / radius).alias("_bx"), F.floor(F.col("y_m") / radius).alias("_by"))
+    half = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))])
+    spread = at.select(F.col("id").alias("_id"), F.col("x_m").alias("_x"), F.col("y_m").alias("_y"), "_bx", "_by", F.explode(half).alias("_o"))
+    own = (F.col("_o.dx") == 0) & (F.col("_o.dy") == 0)
+    spread = spread.select("_id", "_x", "_y", (F.col("_bx") + F.col("_o.dx")).alias("_bx"), (F.col("_by") + F.col("_o.dy")).alias("_by"), own.alias("_own"))
+    met = at.join(spread, ["_bx", "_by"]).where(distance(F.col("x_m"), F.col("y_m"), F.col("_x"), F.col("_y")) < radius)
+    once = (F.col("id") < F.col("_id")) | (~F.col("_own") & (F.col("id") > F.col("_id")))
+    return met.where(once).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
+
+
 def nearest(left: DataFrame, right: DataFrame, radius: float, keys: list[str], identity: list[str], right_id: str) -> DataFrame:
     """Per left row (``identity``) the nearest right row within ``radius``; least ``right_id`` on a tie."""
     own = [c for c in right.columns if c not in (*keys, "x_m", "y_m", right_id)]

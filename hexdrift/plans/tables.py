@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import layers as L
-from ..operators.spatial import near, nearest
+from ..operators.spatial import close_pairs, near, nearest
 from ..sources import model as M
 
 QUERIES: dict = {}
@@ -220,8 +220,7 @@ def _(spark, d):
 
 @query("j15_close_pairs", "SELECT a.mast_id AS a, b.mast_id AS b FROM mast a JOIN mast b ON a.mast_id < b.mast_id AND sqrt((a.x_m - b.x_m)^2 + (a.y_m - b.y_m)^2) < 2000", SQL)
 def _(spark, d):
-    m = M.masts(spark, d).select("mast_id", "x_m", "y_m")
-    return near(m.withColumnRenamed("mast_id", "a"), m.withColumnRenamed("mast_id", "b"), 2000.0, []).where("a < b AND dist_m < 2000").select("a", "b")
+    return close_pairs(M.masts(spark, d).select(F.col("mast_id").alias("id"), "x_m", "y_m"), 2000.0)
 
 
 @query("a30_precision_at_radii", "SELECT count(*) AS sites, count(*) FILTER (WHERE d <= 250) AS at_250, count(*) FILTER (WHERE d <= 500) AS at_500, count(*) FILTER (WHERE d <= 1000) AS at_1000, count(*) FILTER (WHERE d <= 2000) AS at_2000, round(median(d) FILTER (WHERE d <= 2000), 4) AS median_hit FROM (SELECT site_id, min(round(sqrt((s.x_m - m.x_m)^2 + (s.y_m - m.y_m)^2), 3)) AS d FROM site s, mast m GROUP BY 1)", SQL)
